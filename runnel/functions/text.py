@@ -1,109 +1,109 @@
-"""Text column expressions: labels, site keys, number text, JSON text."""
+"""Text column expressions: labels, site keys, number text, JSON text.
 
-from __future__ import annotations
+Arguments are SQL text, a column name or an expression.
+"""
 
-from itertools import chain
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.functions.values import column
+from runnel.functions.values import quoted
 from runnel.schema import MONTH_NAMES, MONTHS
 
 
-def number_text(c: Column | str) -> Column:
+def number_text_sql(c: str) -> str:
+    size = f"abs({c})"
+    plain = rf"regexp_replace(cast(cast({c} as decimal(38,20)) as string), '(\\.\\d+?)0*$', '$1')"
+    short = rf"replace(cast({c} as string), '.0E', 'E')"
+    two_digits = rf"regexp_replace({short}, 'E(-?)(\\d)$', 'E$10$2')"
+    return f"""case
+        when ({size} >= 1e-4D and {size} < 1e-3D) or ({size} >= 1e7D and {size} < 1e16D) then {plain}
+        when ({size} > 0D and {size} < 1e-4D) or ({size} >= 1e16D and {size} < double('inf'))
+            then lower(regexp_replace({two_digits}, 'E(\\\\d)', 'E+$1'))
+        else cast({c} as string) end"""
+
+
+def number_text(c: str) -> Column:
     """Shortest decimal text of a double; exponents only below 1e-4 and from 1e16.
 
     Spark's own cast switches to exponents below 1e-3 and from 1e7.
     """
-    c = column(c)
-    size = F.abs(c)
-    plain = F.regexp_replace(c.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0*$", "$1")
-    exponent = F.regexp_replace(F.regexp_replace(c.cast("string"), r"\.0E", "E"), r"E(-?)(\d)$", "E$10$2")
-    exponent = F.lower(F.regexp_replace(exponent, r"E(\d)", "E+$1"))
-    return (
-        F.when(((size >= 1e-4) & (size < 1e-3)) | ((size >= 1e7) & (size < 1e16)), plain)
-        .when((size > 0) & (size < 1e-4) | (size >= 1e16) & (size < float("inf")), exponent)
-        .otherwise(c.cast("string"))
-    )
+    return F.expr(number_text_sql(c))
 
 
-def site_key(x: Column | str, y: Column | str, separator: str = ",") -> Column:
-    return F.concat(number_text(x), F.lit(separator), number_text(y))
+def site_key(x: str, y: str, separator: str = ",") -> Column:
+    return F.expr(f"concat({number_text_sql(x)}, '{separator}', {number_text_sql(y)})")
 
 
-def grid_key(corner_x: Column | str, corner_y: Column | str) -> Column:
-    return F.concat(F.lit("grid_"), number_text(corner_x), F.lit("_"), number_text(corner_y))
+def grid_key(corner_x: str, corner_y: str) -> Column:
+    return F.expr(f"concat('grid_', {number_text_sql(corner_x)}, '_', {number_text_sql(corner_y)})")
 
 
-def display_name(x: Column | str, y: Column | str) -> Column:
+def display_name(x: str, y: str) -> Column:
     """Coordinates as a label, rounded to two digits."""
-    return F.concat(
-        number_text(F.round(column(x), 2)), F.lit("°E, "), number_text(F.round(column(y), 2)), F.lit("°N")
+    return F.expr(
+        f"concat({number_text_sql(f'round({x}, 2)')}, '°E, ', {number_text_sql(f'round({y}, 2)')}, '°N')"
     )
 
 
-def _lookup(pairs: list[tuple], key: Column | str) -> Column:
-    return F.create_map(*[F.lit(v) for v in chain.from_iterable(pairs)])[column(key)]
+def month_label(name: str) -> Column:
+    """``i_mid_jan`` or ``runoff_jan`` to ``jan``."""
+    return F.expr(f"substring_index({name}, '_', -1)")
 
 
-def month_label(name: Column | str) -> Column:
-    """``i_mid_jan`` or ``runoff_jan`` to ``jan``."""
-    return F.substring_index(column(name), "_", -1)
+def month_title(label: str) -> Column:
+    return F.expr(f"initcap({label})")
 
 
-def month_title(label: Column | str) -> Column:
-    return F.initcap(column(label))
+def month_full_name(label: str) -> Column:
+    entries = ", ".join(f"'{m}', '{n}'" for m, n in zip(MONTHS, MONTH_NAMES))
+    return F.expr(f"map({entries})[{label}]")
 
 
-def month_full_name(label: Column | str) -> Column:
-    return _lookup(list(zip(MONTHS, MONTH_NAMES)), label)
+def month_index(label: str) -> Column:
+    entries = ", ".join(f"'{m}', {i}" for i, m in enumerate(MONTHS))
+    return F.expr(f"map({entries})[{label}]")
 
 
-def month_index(label: Column | str) -> Column:
-    return _lookup([(m, i) for i, m in enumerate(MONTHS)], label)
+def fixed_sql(c: str, digits: int) -> str:
+    return f"case when {c} is not null then format_string('%.{digits}f', {c}) end"
 
 
-def fixed(c: Column | str, digits: int) -> Column:
+def fixed(c: str, digits: int) -> Column:
     """Number with a fixed count of decimals, as label text."""
-    return F.format_string(f"%.{digits}f", column(c))
+    return F.expr(fixed_sql(c, digits))
 
 
-def hex_byte(c: Column) -> Column:
-    """Share 0..1 as two hexadecimal digits."""
-    return F.lower(F.lpad(F.hex((c * 255.0).cast("int")), 2, "0"))
+def ramp_color(intensity: str) -> Column:
+    """Green (0) to red (1) as ``#rrgg00``."""
 
+    def byte(share: str) -> str:
+        return f"lpad(lower(hex(cast(({share}) * 255D as int))), 2, '0')"
 
-def ramp_color(intensity: Column | str) -> Column:
-    """Green (0) to red (1) as ``#rrgg00``."""
-    t = column(intensity)
-    return F.concat(F.lit("#"), hex_byte(t), hex_byte(1.0 - t), F.lit("00"))
+    return F.expr(f"concat('#', {byte(intensity)}, {byte(f'1D - {intensity}')}, '00')")
 
 
-def _quoted(c: Column) -> Column:
-    """Text as a JSON string."""
-    as_list = F.to_json(F.array(c))
-    return F.substring(as_list, F.lit(2), F.length(as_list) - 2)
+def _json_text_sql(c: str) -> str:
+    """Text as a JSON string: a one-element list without its brackets."""
+    return f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)"
 
 
-def json_value(c: Column, data_type: T.DataType) -> Column:
+def json_value_sql(c: str, data_type: T.DataType) -> str:
     """One column value as JSON text."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        text = number_text(c.cast("double"))
+        text = number_text_sql(f"cast({c} as double)")
     elif isinstance(data_type, T.StringType):
-        text = _quoted(c)
+        text = _json_text_sql(c)
     elif isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StringType):
-        text = F.concat(F.lit("["), F.array_join(F.transform(c, _quoted), ", "), F.lit("]"))
+        text = f"concat('[', array_join(transform({c}, s -> {_json_text_sql('s')}), ', '), ']')"
     else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit("null"))
+        text = f"cast({c} as string)"
+    return f"coalesce({text}, 'null')"
 
 
 def json_object(fields: list[T.StructField]) -> Column:
     """A row as JSON text with its fields in order."""
-    parts = [
-        F.concat(F.lit(f'{", " if i else ""}"{f.name}": '), json_value(F.col(f.name), f.dataType))
-        for i, f in enumerate(fields)
-    ]
-    return F.concat(F.lit("{"), *parts, F.lit("}"))
+    parts = [f"""concat('"{f.name}": ', {json_value_sql(quoted(f.name), f.dataType)})""" for f in fields]
+    return F.expr(f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}')")

@@ -1,97 +1,118 @@
-"""Numeric column expressions: missing values, density, grid cells, scaling."""
+"""Numeric column expressions: missing values, density, grid cells, scaling.
+
+Arguments named in upper-level operators as columns are SQL text here, a column
+name or an expression. Wide tables need hundreds of terms; as text each
+expression is built in one step.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return f"`{name}`"
+
 
+def greater_sql(c: str, bound: float) -> str:
+    return f"({c} > {float(bound)!r}D and not isnan({c}))"
 
-def greater(c: Column | str, bound: float) -> Column:
+
+def greater(c: str, bound: float) -> Column:
     """``c > bound`` where NaN compares false (Spark orders NaN above all)."""
-    c = column(c)
-    return (c > F.lit(float(bound))) & ~F.isnan(c)
+    return F.expr(greater_sql(c, bound))
+
 
+def positive_sql(c: str) -> str:
+    return greater_sql(c, 0.0)
 
-def positive(c: Column | str) -> Column:
+
+def positive(c: str) -> Column:
     return greater(c, 0.0)
 
 
-def nan_to_null(c: Column | str) -> Column:
-    c = column(c)
-    return F.when(~F.isnan(c), c)
+def nan_to_null_sql(c: str) -> str:
+    return f"nanvl({c}, cast(null as double))"
+
 
+def nan_to_null(c: str) -> Column:
+    return F.expr(nan_to_null_sql(c))
 
-def all_present(columns: list[str]) -> Column:
+
+def all_present(columns: Iterable[str]) -> Column:
     """True when no column is NULL; a field that could not be parsed is NULL."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in dict.fromkeys(columns)])
+    return F.expr(" and ".join(f"{quoted(c)} is not null" for c in dict.fromkeys(columns)))
+
 
+def to_number_sql(c: str) -> str:
+    return f"try_cast(replace({c}, ',', '') as double)"
 
-def to_number(c: Column | str) -> Column:
+
+def to_number(c: str) -> Column:
     """Text to double; thousands commas are dropped, bad text becomes NULL."""
-    return F.regexp_replace(column(c), ",", "").try_cast("double")
+    return F.expr(to_number_sql(c))
+
 
+def parse_float_sql(c: str) -> str:
+    return f"case when not {c} rlike '(?i)[0-9.][df][ \\\\t]*$|x' then try_cast({c} as double) end"
 
-def parse_float(c: Column | str) -> Column:
+
+def parse_float(c: str) -> Column:
     """Text to double, strictly: NULL unless the whole text is one number.
 
     Java type suffixes and hexadecimal floats, which a cast lets through, count
     as bad text.
     """
-    c = column(c)
-    return F.when(~c.rlike(r"(?i)[0-9.]\s*[df]\s*$|x"), c.try_cast("double"))
+    return F.expr(parse_float_sql(c))
 
 
-def density(amount: Column | str, area_m2: Column | str) -> Column:
+def density(amount: str, area_m2: str) -> Column:
     """Amount per square kilometre; 0 where the area is not positive."""
-    return F.when(positive(area_m2), column(amount) / (column(area_m2) / 1_000_000.0)).otherwise(F.lit(0.0))
+    return F.expr(f"case when {positive_sql(area_m2)} then {amount} / ({area_m2} / 1000000D) else 0D end")
 
 
-def grid_index(c: Column | str, size: float) -> Column:
+def grid_index(c: str, size: float) -> Column:
     """Number of the grid cell, truncated toward zero; NULL off the grid."""
-    return (column(c) / F.lit(float(size))).try_cast("bigint")
+    return F.expr(f"try_cast({c} / {float(size)!r}D as bigint)")
 
 
-def grid_corner(index: Column | str, size: float) -> Column:
-    return F.round(column(index) * F.lit(float(size)), 4)
+def grid_corner_sql(index: str, size: float) -> str:
+    return f"round({index} * {float(size)!r}D, 4)"
 
 
-def clamp(c: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), c))
+def clamp(c: str, low: float, high: float) -> Column:
+    return F.expr(f"greatest({float(low)!r}D, least({float(high)!r}D, {c}))")
 
 
-def capped_share(value: Column | str, reference: Column) -> Column:
+def capped_share(value: str, reference: str) -> Column:
     """``min(value / reference, 1)``; 1 when the reference is zero."""
-    return F.least(F.coalesce(F.try_divide(column(value), reference), F.lit(1.0)), F.lit(1.0))
+    return F.expr(f"least(coalesce(try_divide({value}, {reference}), 1D), 1D)")
+
 
+def min_max_scaled_sql(value: str, low: str, high: str) -> str:
+    return f"try_divide({value} - {low}, {high} - {low})"
 
-def min_max_scaled(value: Column | str, low: Column, high: Column) -> Column:
+
+def min_max_scaled(value: str, low: str, high: str) -> Column:
     """Position between low and high; NULL when they are equal."""
-    return F.try_divide(column(value) - low, high - low)
+    return F.expr(min_max_scaled_sql(value, low, high))
 
 
-def scaled_size(value: Column | str, largest: Column, factor: float) -> Column:
+def scaled_size(value: str, largest: str, factor: float) -> Column:
     """Marker size ``value / largest * factor + 5``."""
-    return F.try_divide(column(value), largest) * F.lit(float(factor)) + F.lit(5.0)
+    return F.expr(f"try_divide({value}, {largest}) * {float(factor)!r}D + 5D")
 
 
-def radius_divisor(largest: Column) -> Column:
+def radius_divisor_sql(largest: str) -> str:
     """Divisor of the marker radius, by magnitude of the largest value."""
     # Upper limits and divisors.
-    return (
-        F.when(~(largest > 0), 5000.0)
-        .when(largest < 10, 0.5)
-        .when(largest < 100, 5.0)
-        .when(largest < 1000, 50.0)
-        .when(largest < 10000, 500.0)
-        .otherwise(5000.0)
-    )
-
-
-def risk_score(high: Column | str, weight: Column | str, area: Column | str) -> Column:
-    return F.try_divide(column(high) * column(weight), column(area))
+    return f"""case when not {largest} > 0 then 5000D when {largest} < 10 then 0.5D when {largest} < 100 then 5D
+        when {largest} < 1000 then 50D when {largest} < 10000 then 500D else 5000D end"""
+
+
+def risk_score(high: str, weight: str, area: str) -> Column:
+    return F.expr(f"try_divide({high} * {weight}, {area})")

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runnel.functions.text import site_key
-from runnel.functions.values import all_present, positive
+from runnel.functions.values import all_present, positive, positive_sql, quoted
 from runnel.operators.groups import sample_lists
 from runnel.schema import DEFAULT_ROLES, SiteRoles
 
@@ -25,28 +22,27 @@ def pair_sums(sites: DataFrame, roles: SiteRoles = DEFAULT_ROLES) -> DataFrame:
     """
     fields = [roles.x, roles.y, *roles.pollution_columns, *roles.runoff_columns]
     masked = []
-    for m in roles.months:
-        counts = positive(m.pollution) & positive(m.runoff)
-        masked.append(F.when(counts, F.col(m.pollution)).otherwise(0.0).alias(f"p_{m.label}"))
-        masked.append(F.when(counts, F.col(m.runoff)).otherwise(0.0).alias(f"r_{m.label}"))
-    p = [F.col(f"p_{label}") for label in roles.labels]
-    r = [F.col(f"r_{label}") for label in roles.labels]
+    for label, p, r in roles.months:
+        both = f"{positive_sql(quoted(p))} and {positive_sql(quoted(r))}"
+        masked.append(f"case when {both} then {quoted(p)} else 0D end as `p_{label}`")
+        masked.append(f"case when {both} then {quoted(r)} else 0D end as `r_{label}`")
 
-    def total(terms: Iterable[Column]) -> Column:
-        return reduce(lambda a, b: a + b, terms)
+    def total(term: str) -> str:
+        return " + ".join(term.format(p=f"`p_{label}`", r=f"`r_{label}`") for label in roles.labels)
 
+    x, y = quoted(roles.x), quoted(roles.y)
     return (
         sites.where(all_present(fields))
-        .select(F.col(roles.x).alias("x"), F.col(roles.y).alias("y"), *masked)
-        .select(
+        .selectExpr(f"{x} as x", f"{y} as y", *masked)
+        .selectExpr(
             "x",
             "y",
-            total(F.signum(v) for v in p).cast("bigint").alias("n"),
-            total(p).alias("sp"),
-            total(r).alias("sr"),
-            total(v * v for v in p).alias("spp"),
-            total(v * v for v in r).alias("srr"),
-            total(v * w for v, w in zip(p, r)).alias("spr"),
+            f"cast({total('signum({p})')} as bigint) as n",
+            f"{total('{p}')} as sp",
+            f"{total('{r}')} as sr",
+            f"{total('{p} * {p}')} as spp",
+            f"{total('{r} * {r}')} as srr",
+            f"{total('{p} * {r}')} as spr",
         )
     )
 
@@ -59,24 +55,22 @@ def site_correlations(sites: DataFrame, roles: SiteRoles = DEFAULT_ROLES, min_pa
     """
     # The row test sits inside the sums: as a filter over twelve months of
     # expressions it would be pushed down and cost long planning times.
-    enough = F.col("n") >= min_pairs
-    pooled = (
-        pair_sums(sites, roles)
-        .groupBy("x", "y")
-        .agg(*[F.sum(F.when(enough, F.col(c))).alias(c) for c in ("n", "sp", "sr", "spp", "srr", "spr")])
-    )
-    n, sp, sr, spp, srr, spr = (F.col(c) for c in ("n", "sp", "sr", "spp", "srr", "spr"))
-    spread = (n * spp - sp * sp) * (n * srr - sr * sr)
+    sums = [
+        F.expr(f"sum({c}) filter (where n >= {int(min_pairs)}) as {c}")
+        for c in ("n", "sp", "sr", "spp", "srr", "spr")
+    ]
+    pooled = pair_sums(sites, roles).groupBy("x", "y").agg(*sums)
+    spread = F.expr("(n * spp - sp * sp) * (n * srr - sr * sr)")
     return (
         pooled.withColumn("spread", spread)
         .where(positive("spread"))
-        .select(
+        .selectExpr(
             "x",
             "y",
-            F.round((n * spr - sp * sr) / F.sqrt("spread"), 4).alias("correlation"),
-            n.alias("data_points"),
-            F.round(sp / n, 6).alias("avg_pollution"),
-            F.round(sr / n, 6).alias("avg_runoff"),
+            "round((n * spr - sp * sr) / sqrt(spread), 4) as correlation",
+            "n as data_points",
+            "round(sp / n, 6) as avg_pollution",
+            "round(sr / n, 6) as avg_runoff",
         )
     )
 

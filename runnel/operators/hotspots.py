@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runnel.functions.text import grid_key, site_key
-from runnel.functions.values import all_present, density, greater, grid_corner, grid_index
+from runnel.functions.values import all_present, density, greater, grid_corner_sql, grid_index
 from runnel.operators.groups import sample_lists
 from runnel.schema import DEFAULT_ROLES, SiteRoles
 
@@ -41,6 +41,11 @@ def grid_points(
     return points.dropna(subset=list(CELL))
 
 
+def cell_name(grid_size: float) -> Column:
+    """Key of the cell columns' grid cell."""
+    return grid_key(grid_corner_sql("cell_x", grid_size), grid_corner_sql("cell_y", grid_size))
+
+
 def hotspots(
     sites: DataFrame,
     grid_size: float = 0.1,
@@ -71,7 +76,7 @@ def hotspots(
     )
     listed = sample_lists(points, CELL, order or [F.col("x"), F.col("y")], site_key("x", "y"), samples)
     return cells.join(listed, list(CELL)).select(
-        grid_key(grid_corner("cell_x", grid_size), grid_corner("cell_y", grid_size)).alias("grid"),
+        cell_name(grid_size).alias("grid"),
         "locations_count",
         F.round("total", digits).alias("total_pollution"),
         F.round("mean_density", digits).alias("average_density"),

@@ -22,6 +22,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runnel.functions.values import quoted
+
 #: Upper bound for the histogram rows that one scan returns.
 HISTOGRAM_ROWS = 1 << 17
 
@@ -49,12 +51,17 @@ class _Bracket:
     ranks: list[int]
 
 
+def doubles(columns: Sequence[str]) -> str:
+    """The columns as doubles, as SQL text."""
+    return ", ".join(f"cast({quoted(c)} as double)" for c in columns)
+
+
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Present values as rows (series, v)."""
     if len(columns) == 1:
         long = df.select(F.lit(0).alias("series"), F.col(columns[0]).cast("double").alias("v"))
     else:
-        long = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("series", "v"))
+        long = df.select(F.expr(f"posexplode(array({doubles(columns)}))").alias("series", "v"))
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
@@ -90,8 +97,10 @@ def _pick(rows: dict, owner: int, base: int, column: int, ranks: Iterable[int],
     return list(found.values())
 
 
-def _number(x: float) -> str:
+def number_sql(x: float | None) -> str:
     """A double as SQL text."""
+    if x is None:
+        return "cast(null as double)"
     return f"{x!r}D" if math.isfinite(x) else f"double('{x!r}')"
 
 
@@ -103,12 +112,12 @@ def _bracketed(df: DataFrame, columns: Sequence[str], brackets: list[_Bracket],
     """
     entries, tests = [], []
     for series, name in enumerate(columns):
-        v = f"cast(`{name}` as double)"
+        v = doubles([name])
         cases = []
         for i, b in enumerate(brackets):
             if b.column == series:
-                test = f"{v} >= {_number(b.low)} and {v} <= {_number(b.high)}"
-                place = f"floor(({v} - {_number(b.low)}) / {_number(b.high - b.low)} * {parts})"
+                test = f"{v} >= {number_sql(b.low)} and {v} <= {number_sql(b.high)}"
+                place = f"floor(({v} - {number_sql(b.low)}) / {number_sql(b.high - b.low)} * {parts})"
                 bucket = "0" if parts is None else f"cast(least({place}, {parts - 1}) as int)"
                 cases.append(f"when {test} then named_struct('owner', {i}, 'bucket', {bucket}, 'v', {v})")
                 tests.append(test)

@@ -14,12 +14,12 @@ from runnel.functions.values import (
     min_max_scaled,
     nan_to_null,
     positive,
-    radius_divisor,
+    radius_divisor_sql,
     risk_score,
     scaled_size,
 )
 from runnel.operators.groups import first_rows
-from runnel.operators.order_stats import HISTOGRAM_ROWS, quantiles
+from runnel.operators.order_stats import HISTOGRAM_ROWS, number_sql, quantiles
 from runnel.operators.quality import clean_sites, drop_missing
 from runnel.operators.reshape import months_long
 from runnel.schema import DEFAULT_ROLES, SiteRoles
@@ -71,7 +71,7 @@ def scaled_markers(top: DataFrame, roles: SiteRoles = DEFAULT_ROLES, ties: Seque
         roles.x,
         roles.mid,
         *ties,
-        F.greatest(F.lit(0.5), F.col(roles.mid) / radius_divisor(F.col("_e.high"))).alias("radius"),
+        F.expr(f"greatest(0.5D, {roles.mid} / {radius_divisor_sql('_e.high')})").alias("radius"),
         F.concat(F.lit("Pollution: "), fixed(roles.mid, 2), F.lit(" particles/km²")).alias("popup"),
     )
 
@@ -82,9 +82,8 @@ def colored_markers(top: DataFrame, roles: SiteRoles = DEFAULT_ROLES, ties: Sequ
     Intensity, colour and severity are NULL when all values are equal.
     """
     t = F.col("intensity")
-    mid = F.col(roles.mid)
     placed = _with_extremes(top, roles.mid).withColumn(
-        "intensity", min_max_scaled(roles.mid, F.col("_e.low"), F.col("_e.high"))
+        "intensity", min_max_scaled(roles.mid, "_e.low", "_e.high")
     )
     return placed.select(
         roles.y,
@@ -93,7 +92,7 @@ def colored_markers(top: DataFrame, roles: SiteRoles = DEFAULT_ROLES, ties: Sequ
         *ties,
         "intensity",
         ramp_color("intensity").alias("color"),
-        clamp(5.0 + F.try_divide(mid, F.col("_e.high")) * 20.0, 5, 25).alias("radius"),
+        clamp(f"5D + try_divide({roles.mid}, _e.high) * 20D", 5, 25).alias("radius"),
         F.when(t > 0.8, "Critical").when(t > 0.5, "High").when(t.isNotNull(), "Moderate").alias("severity"),
         F.concat(fixed(roles.mid, 2), F.lit(" particles/km²")).alias("concentration"),
         F.concat(fixed(roles.y, 3), F.lit(", "), fixed(roles.x, 3)).alias("coordinates"),
@@ -116,7 +115,7 @@ def heat_points_capped(
     clean = drop_missing(df, [roles.x, roles.y, roles.mid])
     (q95,) = quantiles(clean, [roles.mid], [0.95], budget)[roles.mid]
     rows = clean.where(positive(roles.mid))
-    weight = capped_share(roles.mid, F.lit(q95).cast("double"))
+    weight = capped_share(roles.mid, number_sql(q95))
     return rows.select(roles.y, roles.x, weight.alias("weight"), *keep)
 
 
@@ -183,7 +182,7 @@ def severity_table(
         runoff,
         roles.weight,
         *keep,
-        scaled_size(roles.weight, F.col("_e.high"), 20).alias("marker_size"),
+        scaled_size(roles.weight, "_e.high", 20).alias("marker_size"),
         F.coalesce(positive(roles.area) & positive(roles.high), F.lit(False)).alias("on_log_axes"),
     )
 
@@ -200,7 +199,7 @@ def risk_table(df: DataFrame, roles: SiteRoles = DEFAULT_ROLES, keep: Sequence[s
         roles.high, roles.weight, *keep, risk_score(roles.high, roles.weight, roles.area).alias("risk")
     )
     return _with_extremes(scored, "risk").select(
-        roles.high, roles.weight, *keep, "risk", scaled_size("risk", F.col("_e.high"), 30).alias("marker_size")
+        roles.high, roles.weight, *keep, "risk", scaled_size("risk", "_e.high", 30).alias("marker_size")
     )
 
 
@@ -232,8 +231,10 @@ def concentration_points(
     clean = drop_missing(df, [roles.x, roles.y, roles.mid])
     *limits, q95 = quantiles(clean, [roles.mid], [*CONCENTRATION_QUANTILES, 0.95], budget)[roles.mid]
     # The share is unbounded when q95 is 0: positive values get the largest size.
-    share = F.try_divide(F.col(roles.mid), F.lit(q95).cast("double"))
-    size = F.when(share.isNull() & positive(roles.mid), 20.0).otherwise(clamp(share * 15.0 + 3.0, 3, 20))
+    share = f"try_divide({roles.mid}, {number_sql(q95)})"
+    size = F.when(F.expr(f"{share} is null") & positive(roles.mid), 20.0).otherwise(
+        clamp(f"{share} * 15D + 3D", 3, 20)
+    )
     return clean.select(
         roles.x,
         roles.y,

@@ -4,25 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runnel.functions.values import quoted
+from runnel.operators.reshape import stacked
 from runnel.schema import DEFAULT_ROLES, SiteRoles
 
 
-def _missing(df: DataFrame, column: str):
-    c = F.col(column)
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+def _missing(field: T.StructField) -> str:
+    c = quoted(field.name)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return f"({c} is null or isnan({c}))"
+    return f"{c} is null"
 
 
 def missing_by_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column, in one pass over the table."""
     columns = list(columns or df.columns)
-    counts = df.agg(*[F.count_if(_missing(df, c)).alias(c) for c in columns])
-    return counts.unpivot([], columns, "column", "missing")
+    schema = df.schema
+    counts = df.agg(*[F.expr(f"count_if({_missing(schema[c])}) as {quoted(c)}") for c in columns])
+    return counts.selectExpr(f"{stacked(columns, columns)} as (column, missing)")
 
 
 def missing_total(df: DataFrame) -> DataFrame:
@@ -55,11 +58,11 @@ def completeness(df: DataFrame, roles: SiteRoles = DEFAULT_ROLES, target: float
     With the quality band, the distance to ``target`` and whether it is met; 0
     for an empty table.
     """
-    def share(*columns: str):
-        absent = F.lit(False)
-        for c in columns:
-            absent = absent | _missing(df, c)
-        return F.coalesce(F.try_divide(F.count_if(~absent), F.count("*")) * 100, F.lit(0.0))
+    schema = df.schema
+
+    def share(*columns: str) -> Column:
+        absent = " or ".join(_missing(schema[c]) for c in columns)
+        return F.expr(f"coalesce(try_divide(count_if(not ({absent})), count(*)) * 100, 0D)")
 
     # Band limits.
     band = F.when(F.col("score") < 50, "low").when(F.col("score") < 80, "medium").otherwise("high")

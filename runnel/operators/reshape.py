@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runnel.functions.text import month_title
+from runnel.functions.values import quoted
 from runnel.schema import MONTHS
 
 
+def stacked(labels: Sequence[str], *columns: Sequence[str]) -> str:
+    """Generator text: one row (label, values) per label, without a shuffle."""
+    rows = [", ".join([f"'{label}'", *map(quoted, row)]) for label, *row in zip(labels, *columns, strict=True)]
+    return f"stack({len(rows)}, {', '.join(rows)})"
+
+
 def months_long(
     df: DataFrame,
     ids: Sequence[str],
@@ -20,34 +27,27 @@ def months_long(
     value: str = "value",
 ) -> DataFrame:
     """One row per input row and month; rows with a missing value are kept."""
-    named = df.select(*ids, *[F.col(c).alias(label) for c, label in zip(columns, labels, strict=True)])
-    return named.unpivot(list(ids), list(labels), name, value)
+    return df.selectExpr(*map(quoted, ids), f"{stacked(labels, columns)} as ({quoted(name)}, {quoted(value)})")
 
 
 def month_pairs(df: DataFrame, ids: Sequence[str], months: Sequence[tuple[str, str, str]]) -> DataFrame:
     """One row (ids, month, pollution, runoff) per input row and month."""
-    pairs = [
-        F.struct(F.lit(label).alias("month"), F.col(p).alias("pollution"), F.col(r).alias("runoff"))
-        for label, p, r in months
-    ]
-    return df.select(*ids, F.inline(F.array(*pairs)))
+    return df.selectExpr(*map(quoted, ids), f"{stacked(*zip(*months))} as (month, pollution, runoff)")
 
 
-def _per_month(df: DataFrame, aggregates: dict[str, Column], value: str) -> DataFrame:
+def _per_month(df: DataFrame, aggregate: str, columns: Sequence[str], labels: Sequence[str], value: str) -> DataFrame:
     """Aggregate every month column to one row, then turn that row into month rows."""
-    wide = df.agg(*[a.alias(label) for label, a in aggregates.items()])
-    long = wide.unpivot([], list(aggregates), "label", value)
-    order = F.array_position(F.array(*[F.lit(label) for label in aggregates]), F.col("label")) - 1
+    wide = df.agg(*[F.expr(f"{aggregate.format(quoted(c))} as {quoted(m)}") for c, m in zip(columns, labels)])
+    long = months_long(wide, [], labels, labels, "label", value)
+    order = F.array_position(F.array(*[F.lit(label) for label in labels]), F.col("label")) - 1
     return long.select(month_title("label").alias("month"), order.cast("int").alias("month_index"), value)
 
 
 def monthly_totals(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = MONTHS) -> DataFrame:
     """Sum per month column, in calendar order; 0 for a column without values."""
-    totals = {m: F.coalesce(F.sum(c), F.lit(0.0)) for m, c in zip(labels, columns, strict=True)}
-    return _per_month(df, totals, "total").orderBy("month_index")
+    return _per_month(df, "coalesce(sum({}), 0D)", columns, labels, "total").orderBy("month_index")
 
 
 def monthly_means(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = MONTHS) -> DataFrame:
     """Mean per month column over the present values, in calendar order."""
-    means = {m: F.avg(c) for m, c in zip(labels, columns, strict=True)}
-    return _per_month(df, means, "average").orderBy("month_index")
+    return _per_month(df, "avg({})", columns, labels, "average").orderBy("month_index")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runnel.functions.values import all_present, positive
+from runnel.functions.values import all_present, positive, positive_sql, quoted
 from runnel.operators.reshape import months_long
 from runnel.schema import DEFAULT_ROLES, SiteRoles
 
@@ -47,14 +44,14 @@ def with_seasonal_variance(sites: DataFrame, roles: SiteRoles = DEFAULT_ROLES) -
     It is 0 for a site with fewer than two of them.
     """
 
-    def total(term: Callable[[Column], Column]) -> Column:
-        terms = [F.when(positive(c), term(F.col(c))).otherwise(0.0) for c in roles.pollution_columns]
-        return reduce(lambda a, b: a + b, terms)
+    def total(term: str) -> str:
+        names = [quoted(c) for c in roles.pollution_columns]
+        return " + ".join(f"case when {positive_sql(v)} then {term.format(v=v)} else 0D end" for v in names)
 
     # Count and mean are columns of their own, so each is computed once.
-    centred = sites.withColumn("_n", total(lambda v: F.lit(1.0))).withColumn(
-        "_mean", F.try_divide(total(lambda v: v), "_n")
+    centred = sites.withColumn("_n", F.expr(total("1D"))).withColumn(
+        "_mean", F.expr(f"try_divide({total('{v}')}, _n)")
     )
-    squares = total(lambda v: (v - F.col("_mean")) * (v - F.col("_mean")))
-    variance = F.when(F.col("_n") > 1, squares / F.col("_n")).otherwise(0.0)
+    squares = total("({v} - _mean) * ({v} - _mean)")
+    variance = F.expr(f"case when _n > 1 then ({squares}) / _n else 0D end")
     return centred.withColumn("variance", variance).drop("_n", "_mean")

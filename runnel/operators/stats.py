@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.functions.values import min_max_scaled, nan_to_null
-from runnel.operators.order_stats import HISTOGRAM_ROWS, quantiles
+from runnel.functions.values import min_max_scaled, nan_to_null, quoted
+from runnel.operators.order_stats import HISTOGRAM_ROWS, doubles, quantiles
 from runnel.operators.reshape import months_long
 from runnel.schema import MONTHS
 
@@ -22,7 +22,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def _by_name(columns: Sequence[str], position: str) -> Column:
-    return F.get(F.array(*[F.lit(c) for c in columns]), F.col(position).cast("int"))
+    names = ", ".join(f"'{c}'" for c in columns)
+    return F.expr(f"get(array({names}), cast({position} as int))")
 
 
 def _literal_rows(spark, names: Sequence[str], rows: dict[str, list[float | None]], key: str) -> DataFrame:
@@ -40,7 +41,7 @@ def numeric_summary(
     Pass a stored table: the quartiles are exact and take a few scans.
     """
     columns = list(columns or numeric_columns(df))
-    long = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("position", "v"))
+    long = df.select(F.expr(f"posexplode(array({doubles(columns)}))").alias("position", "v"))
     present = nan_to_null("v")
     moments = long.groupBy("position").agg(
         F.count(present).alias("count"),
@@ -93,7 +94,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     values = df.select(nan_to_null(column).alias("v")).where("v is not null")
     extent = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     placed = values.select("v", extent.alias("e")).select(
-        (F.least(F.floor(F.coalesce(min_max_scaled("v", F.col("e.low"), F.col("e.high")), F.lit(0.0)) * bins),
+        (F.least(F.floor(F.coalesce(min_max_scaled("v", "e.low", "e.high"), F.lit(0.0)) * bins),
                  F.lit(bins - 1)) + 1).cast("int").alias("bin"),
         F.col("e.low").alias("low"),
         ((F.col("e.high") - F.col("e.low")) / bins).alias("width"),
@@ -157,11 +158,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     means, so large offsets do not cancel.
     """
     columns = list(columns or numeric_columns(df))
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    table = df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" for c in columns])
     v = nan_to_null("v")
     # One row per column, so this is small whatever the table holds.
     known = (
-        table.select(F.posexplode(F.array(*columns)).alias("position", "v"))
+        table.select(F.expr(f"posexplode(array({doubles(columns)}))").alias("position", "v"))
         .groupBy("position")
         .agg(F.coalesce(F.avg(v), F.lit(0.0)).alias("mean"), (F.min(v) < F.max(v)).alias("varies"))
         .orderBy("position")
@@ -211,7 +212,7 @@ def trend_surface(
     ).scalar()
 
     def node(c: str, low: str, high: str) -> Column:
-        share = F.coalesce(min_max_scaled(c, F.col(f"e.{low}"), F.col(f"e.{high}")), F.lit(0.0))
+        share = F.coalesce(min_max_scaled(c, f"e.{low}", f"e.{high}"), F.lit(0.0))
         return F.floor(share * (nodes - 1) + 0.5).cast("int")
 
     means = (

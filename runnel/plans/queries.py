@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runnel.functions.text import fixed, month_label, month_title, site_key
-from runnel.functions.values import clamp, density, to_number
+from runnel.functions.values import clamp, density, to_number_sql
 from runnel.operators import (
     correlation,
     hotspots,
@@ -102,8 +102,8 @@ def months_long(spark: SparkSession, d: str) -> DataFrame:
     named = reshape.months_long(
         tables.sites(spark, d), ["site_id"], MID_MONTHS, MID_MONTHS, name="name", value="monthly_input"
     )
-    label = month_label("name")
-    return named.select("site_id", label.alias("month"), month_title(label).alias("title"), "monthly_input")
+    labelled = named.withColumn("month", month_label("name"))
+    return labelled.select("site_id", "month", month_title("month").alias("title"), "monthly_input")
 
 
 @query
@@ -117,8 +117,7 @@ def month_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query
 def grid_points(spark: SparkSession, d: str) -> DataFrame:
     points = hotspots.grid_points(tables.sites(spark, d), 0.5, keep=["site_id"])
-    key = hotspots.grid_key(hotspots.grid_corner("cell_x", 0.5), hotspots.grid_corner("cell_y", 0.5))
-    return points.select("site_id", key.alias("grid"), site_key("x", "y").alias("location"), "pollution", "density")
+    return points.select("site_id", hotspots.cell_name(0.5).alias("grid"), site_key("x", "y").alias("location"), "pollution", "density")
 
 
 @query
@@ -435,7 +434,7 @@ def numeric_repair(spark: SparkSession, d: str) -> DataFrame:
     )
     repaired = site_files.repair_numbers(text, ["i_mid_jan"])
     coerced = site_files.coerce_number(repaired, "i_mid")
-    return coerced.withColumn("scaled", clamp(to_number("i_mid_jan"), 0, 5000))
+    return coerced.withColumn("scaled", clamp(to_number_sql("i_mid_jan"), 0, 5000))
 
 
 @query

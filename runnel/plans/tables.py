@@ -23,45 +23,41 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     part in 17 lacks its mid estimate, one in 13 has zero estimates and one in
     ten sizes has no area. Sites share coordinates once there are 800 parts.
     """
-    month = F.month("l_shipdate")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    pieces = F.col("l_quantity").cast("bigint")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey",
+        F.month("l_shipdate").alias("month"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("cents"),
+        F.col("l_quantity").cast("bigint").alias("pieces"),
+    )
 
-    def of_month(i: int, value: Column) -> Column:
-        return F.sum(F.when(month == i, value).otherwise(F.lit(0)))
+    def per_month(value: str) -> list[Column]:
+        # FILTER keeps the generated update code of the 24 sums short.
+        return [
+            F.expr(f"coalesce(sum({value}) filter (where month = {i}), 0)").alias(f"{value}_{m}")
+            for i, m in enumerate(MONTHS, 1)
+        ]
 
-    totals = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey")
-        .agg(
-            F.sum(cents).alias("cents"),
-            *[of_month(i, cents).alias(f"cents_{m}") for i, m in enumerate(MONTHS, 1)],
-            *[of_month(i, pieces).alias(f"pieces_{m}") for i, m in enumerate(MONTHS, 1)],
-        )
+    totals = lines.groupBy("l_partkey").agg(
+        F.sum("cents").alias("cents"), *per_month("cents"), *per_month("pieces")
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
-    k = F.col("l_partkey")
-    year = F.col("cents").cast("double") / SCALE
-    factor = {"low": 0.5, "high": 2.0}
-
-    def estimate(e: str, mid: Column) -> Column:
-        return mid * factor[e] if e in factor else mid
-
-    values: dict[str, Column] = {
-        "X": (k * 7919 % 200 - 100).cast("double") / 10.0,
-        "Y": (k * 104729 % 160 - 80).cast("double") / 10.0,
-        "mpw": F.col("p_retailprice"),
-        "area": F.when(F.col("p_size") % 10 == 0, 0).otherwise(F.col("p_size")).cast("double") * 1_000_000.0,
+    k, year = "l_partkey", f"cast(cents as double) / {SCALE!r}D"
+    factor = {"mid": "", "low": " * 0.5D", "high": " * 2D"}
+    values = {
+        "X": f"cast({k} * 7919 % 200 - 100 as double) / 10D",
+        "Y": f"cast({k} * 104729 % 160 - 80 as double) / 10D",
+        "mpw": "p_retailprice",
+        "area": "cast(case when p_size % 10 = 0 then 0 else p_size end as double) * 1000000D",
     }
     for e in ESTIMATES:
-        annual = F.when(k % 13 == 0, 0.0).otherwise(estimate(e, year))
-        values[f"i_{e}"] = F.when(k % 17 != 0, annual) if e == "mid" else annual
+        annual = f"case when {k} % 13 = 0 then 0D else {year}{factor[e]} end"
+        values[f"i_{e}"] = f"case when {k} % 17 != 0 then {annual} end" if e == "mid" else annual
         for m in MONTHS:
-            values[f"i_{e}_{m}"] = estimate(e, F.col(f"cents_{m}").cast("double") / SCALE)
+            values[f"i_{e}_{m}"] = f"cast(cents_{m} as double) / {SCALE!r}D{factor[e]}"
     for m in MONTHS:
-        values[f"runoff_{m}"] = F.col(f"pieces_{m}").cast("double")
-    return totals.join(parts, k == F.col("p_partkey")).select(
-        k.alias("site_id"), *[values[c].alias(c) for c in SITE_COLUMNS]
+        values[f"runoff_{m}"] = f"cast(pieces_{m} as double)"
+    return totals.join(parts, F.expr(f"{k} = p_partkey")).selectExpr(
+        f"{k} as site_id", *[f"{values[c]} as `{c}`" for c in SITE_COLUMNS]
     )
 
 

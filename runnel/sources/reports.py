@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runnel.functions.text import json_object
-from runnel.functions.values import parse_float
+from runnel.functions.values import parse_float_sql
 
 HOTSPOT_POINT_SCHEMA = "latitude double, longitude double, hotspot_score double, grid string"
 
@@ -52,13 +52,11 @@ def parse_hotspot_lines(lines: DataFrame) -> HotspotPoints:
         F.from_json(F.get(parts, F.lit(1)), schema, {"columnNameOfCorruptRecord": "_bad"}).alias("j"),
     )
 
-    def coordinates(text: Column) -> Column:
-        xy = F.split(text, ",")
-        first, second = parse_float(F.get(xy, F.lit(0))), parse_float(F.get(xy, F.lit(1)))
-        good = (F.size(xy) == 2) & first.isNotNull() & second.isNotNull()
-        return F.when(good, F.struct(second.alias("latitude"), first.alias("longitude")))
-
-    pairs = F.transform("j.sample_locations", coordinates)
+    xy = "split(t, ',')"
+    first, second = parse_float_sql(f"get({xy}, 0)"), parse_float_sql(f"get({xy}, 1)")
+    good = f"size({xy}) = 2 and ({first}) is not null and ({second}) is not null"
+    point = f"case when {good} then named_struct('latitude', {second}, 'longitude', {first}) end"
+    pairs = F.expr(f"transform(j.sample_locations, t -> {point})")
     first_bad = F.array_position(F.transform(pairs, lambda p: p.isNull()), F.lit(True))
     tested = parsed.select(
         "value",

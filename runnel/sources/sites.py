@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.functions.values import nan_to_null, parse_float, to_number
+from runnel.functions.values import nan_to_null, parse_float, quoted, to_number_sql
 from runnel.schema import MONTHS, SITE_COLUMNS, SITE_SCHEMA
 
 
@@ -19,12 +19,12 @@ def repair_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     Columns that are numeric already stay as they are.
     """
     text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    return df.withColumns({c: nan_to_null(to_number(c)) for c in text})
+    return df.withColumns({c: nan_to_null(to_number_sql(quoted(c))) for c in text})
 
 
 def coerce_number(df: DataFrame, column: str) -> DataFrame:
     """One column to double; text that is no number becomes missing."""
-    return df.withColumn(column, nan_to_null(F.col(column).try_cast("double")))
+    return df.withColumn(column, nan_to_null(f"try_cast({quoted(column)} as double)"))
 
 
 def read_sites(
@@ -52,14 +52,9 @@ def read_sites(
         raise ValueError(f"month columns not in the file: {', '.join(absent)}")
     known = [c for c in SITE_COLUMNS if c in raw.columns]
     typed = raw.withColumns(
-        {
-            c: nan_to_null(to_number(c) if c in month_columns else F.col(c).try_cast("double"))
-            for c in known
-        }
+        {c: nan_to_null(to_number_sql(c) if c in month_columns else f"try_cast({c} as double)") for c in known}
     )
-    for c in known:
-        typed = typed.withMetadata(c, SITE_SCHEMA[c].metadata)
-    return typed
+    return typed.select(*[F.col(c).alias(c, metadata=SITE_SCHEMA[c].metadata) if c in known else c for c in raw.columns])
 
 
 def read_sites_positional(spark: SparkSession, path: str | list[str]) -> DataFrame:
