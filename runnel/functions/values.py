@@ -85,7 +85,8 @@ def grid_corner_sql(index: str, size: float) -> str:
 
 
 def clamp(c: str, low: float, high: float) -> Column:
-    return F.expr(f"greatest({float(low)!r}D, least({float(high)!r}D, {c}))")
+    """The value moved into [low, high]; NULL stays NULL."""
+    return F.expr(f"case when ({c}) is not null then greatest({float(low)!r}D, least({float(high)!r}D, {c})) end")
 
 
 def capped_share(value: str, reference: str) -> Column:

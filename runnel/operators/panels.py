@@ -79,7 +79,8 @@ def scaled_markers(top: DataFrame, roles: SiteRoles = DEFAULT_ROLES, ties: Seque
 def colored_markers(top: DataFrame, roles: SiteRoles = DEFAULT_ROLES, ties: Sequence[str] = ()) -> DataFrame:
     """Marker intensity, colour, clamped radius, severity and popup texts.
 
-    Intensity, colour and severity are NULL when all values are equal.
+    Intensity, colour and severity are NULL when all values are equal; the
+    radius is the largest one when all are zero.
     """
     t = F.col("intensity")
     placed = _with_extremes(top, roles.mid).withColumn(
@@ -92,7 +93,7 @@ def colored_markers(top: DataFrame, roles: SiteRoles = DEFAULT_ROLES, ties: Sequ
         *ties,
         "intensity",
         ramp_color("intensity").alias("color"),
-        clamp(f"5D + try_divide({roles.mid}, _e.high) * 20D", 5, 25).alias("radius"),
+        F.coalesce(clamp(f"5D + try_divide({roles.mid}, _e.high) * 20D", 5, 25), F.lit(25.0)).alias("radius"),
         F.when(t > 0.8, "Critical").when(t > 0.5, "High").when(t.isNotNull(), "Moderate").alias("severity"),
         F.concat(fixed(roles.mid, 2), F.lit(" particles/km²")).alias("concentration"),
         F.concat(fixed(roles.y, 3), F.lit(", "), fixed(roles.x, 3)).alias("coordinates"),

@@ -181,7 +181,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
         table.mapInArrow(run, schema)
         .groupBy("a", "b")
         .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-        .select("a", "b", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("r"))
+        .select("a", "b", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
     )
     mirrored = pairs.select(
         F.inline(F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")))
