@@ -71,7 +71,7 @@ def _magnitude(v: Column, parts: int) -> Column:
     return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * (exponent + 1100 * parts)).cast("long")
 
 
-def _histogram(counted: DataFrame) -> np.ndarray:
+def _histogram(counted: DataFrame) -> dict[str, np.ndarray]:
     """Histogram rows as arrays, sorted by owner and lowest value."""
     table = counted.toArrow()
     rows = {name: table.column(name).to_numpy() for name in ("owner", "n", "low", "high")}
@@ -104,29 +104,36 @@ def number_sql(x: float | None) -> str:
     return f"{x!r}D" if math.isfinite(x) else f"double('{x!r}')"
 
 
+def _list_sql(values: Iterable[float | int], index: str) -> str:
+    """Element of a constant list, as SQL text."""
+    texts = [number_sql(v) if isinstance(v, float) else str(v) for v in values]
+    return f"get(array({', '.join(texts)}), {index})"
+
+
 def _bracketed(df: DataFrame, columns: Sequence[str], brackets: list[_Bracket], parts: int | None) -> DataFrame:
     """Rows (owner, bucket, v) of the values inside brackets; no parts: v is its own bucket.
 
     The brackets of a column do not overlap, so a value has at most one owner.
-    SQL text keeps the building of many cases short.
     """
-    entries, tests = [], []
-    for series, name in enumerate(columns):
-        v = doubles([name])
-        cases = []
-        for i, b in enumerate(brackets):
-            if b.column == series:
-                test = f"{v} >= {number_sql(b.low)} and {v} <= {number_sql(b.high)}"
-                place = f"floor(({v} - {number_sql(b.low)}) / {number_sql(b.high - b.low)} * {parts})"
-                bucket = "0" if parts is None else f"cast(least({place}, {parts - 1}) as int)"
-                cases.append(f"when {test} then named_struct('owner', {i}, 'bucket', {bucket}, 'v', {v})")
-                tests.append(test)
-        if cases:
-            entries.append(f"case {' '.join(cases)} end")
-    if len(entries) == 1:
-        # One column: its brackets are a filter that storage can use.
-        return df.where(" or ".join(tests)).select(F.expr(entries[0]).alias("e")).select("e.*")
-    return df.select(F.expr(f"explode(array({', '.join(entries)}))").alias("e")).where("e is not null").select("e.*")
+    per_column = [[(i, b) for i, b in enumerate(brackets) if b.column == s] for s in range(len(columns))]
+    if len(columns) == 1:
+        # A filter on the column itself is one that storage can use.
+        v = doubles(columns)
+        tests = [f"{v} between {number_sql(b.low)} and {number_sql(b.high)}" for b in brackets]
+        df = df.where(" or ".join(tests))
+    cases = []
+    none = _Bracket(-1, math.inf, -math.inf, 0, 0, [])
+    for slot in range(max(map(len, per_column))):
+        chosen = [own[slot] if slot < len(own) else (-1, none) for own in per_column]
+        low = _list_sql([b.low for _, b in chosen], "series")
+        high = _list_sql([b.high for _, b in chosen], "series")
+        cases.append(f"when v >= {low} and v <= {high} then {_list_sql([i for i, _ in chosen], 'series')}")
+    owned = _long(df, columns).selectExpr("v", f"case {' '.join(cases)} end as owner").where("owner >= 0")
+    if parts is None:
+        return owned
+    low = _list_sql([b.low for b in brackets], "owner")
+    width = _list_sql([b.high - b.low for b in brackets], "owner")
+    return owned.selectExpr("owner", f"cast(least(floor((v - {low}) / {width} * {parts}), {parts - 1}) as int) as bucket", "v")
 
 
 def order_statistics(
@@ -164,6 +171,9 @@ def order_statistics(
             parts = max(2, budget // len(brackets))
             keys = ["owner", "bucket"]
         rows = _histogram(_bracketed(df, columns, brackets, parts).groupBy(*keys).agg(*tally))
+        found = np.bincount(rows["owner"], weights=rows["n"], minlength=len(brackets))
+        if [b.count for b in brackets] != found.tolist():
+            raise ValueError("the input changed between scans; pass a stored or staged table")
         brackets = [
             inner
             for i, b in enumerate(brackets)

@@ -18,7 +18,7 @@ from runnel.functions.values import (
     risk_score,
     scaled_size,
 )
-from runnel.operators.groups import first_rows
+from runnel.operators.groups import largest_rows
 from runnel.operators.order_stats import HISTOGRAM_ROWS, number_sql, quantiles
 from runnel.operators.quality import clean_sites, drop_missing
 from runnel.operators.reshape import months_long
@@ -148,9 +148,9 @@ def top_sites_by_month(
     ids = [roles.x, roles.y, roles.mid, roles.weight, roles.area, *ties]
     long = months_long(nonzero_sites(df, roles), ids, roles.pollution_columns, roles.labels, value="monthly_input")
     present = long.where(nan_to_null("monthly_input").isNotNull())
-    order = [F.desc("monthly_input"), F.col(roles.x), F.col(roles.y), *[F.col(c) for c in ties]]
+    order = [roles.x, roles.y, *ties]
     return (
-        first_rows(present, ["month"], order, k, rank="rank")
+        largest_rows(present, "month", "monthly_input", [F.col(c) for c in order], k, spread=order)
         .select(
             *ids,
             "month",

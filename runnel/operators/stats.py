@@ -128,7 +128,7 @@ def _pair_moments(shift: Sequence[float]):
     """Arrow batches of one task to moment sums per column pair."""
     centre = np.asarray(shift)
     k = len(centre)
-    left, right = np.tril_indices(k, -1)
+    left, right = np.tril_indices(k)
     names = ["a", "b", "n", "sa", "sb", "saa", "sbb", "sab"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,26 +149,25 @@ def _pair_moments(shift: Sequence[float]):
     return run, "a bigint, b bigint, " + ", ".join(f"{c} double" for c in names[2:])
 
 
+def _typical_row(table: DataFrame, rows: int = 200) -> list[float]:
+    """Column means of the first few rows; 0 for a column without values there."""
+    values = np.array([list(r) for r in table.take(rows)], dtype=float).reshape(-1, len(table.columns))
+    present = np.isfinite(values)
+    counts = np.maximum(present.sum(axis=0), 1)
+    return (np.where(present, values, 0.0).sum(axis=0) / counts).tolist()
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of every column pair over the rows where both are present.
 
     Long form (column_a, column_b, r), both triangles and the diagonal; r is
     NULL where a column does not vary. Each task multiplies its batches as
-    matrices and sends one row per pair; values are first moved to the column
-    means, so large offsets do not cancel.
+    matrices and sends one row per pair; values are first moved by a typical
+    row, so large offsets do not cancel.
     """
     columns = list(columns or numeric_columns(df))
     table = df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" for c in columns])
-    v = nan_to_null("v")
-    # One row per column, so this is small whatever the table holds.
-    known = (
-        table.select(F.expr(f"posexplode(array({doubles(columns)}))").alias("position", "v"))
-        .groupBy("position")
-        .agg(F.coalesce(F.avg(v), F.lit(0.0)).alias("mean"), (F.min(v) < F.max(v)).alias("varies"))
-        .orderBy("position")
-        .collect()
-    )
-    run, schema = _pair_moments([k["mean"] for k in known])
+    run, schema = _pair_moments(_typical_row(table))
     n, sa, sb, saa, sbb, sab = (F.col(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab"))
 
     def spread(total: Column, squares: Column) -> Column:
@@ -183,16 +182,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
         .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
         .select("a", "b", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
     )
-    mirrored = pairs.select(
-        F.inline(F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")))
-    )
-    diagonal = df.sparkSession.createDataFrame(
-        [(c, c, 1.0 if k["varies"] else None) for c, k in zip(columns, known)],
-        "column_a string, column_b string, r double",
-    )
-    return mirrored.select(
-        _by_name(columns, "a").alias("column_a"), _by_name(columns, "b").alias("column_b"), "r"
-    ).unionAll(diagonal)
+    one, other = "named_struct('a', a, 'b', b)", "named_struct('a', b, 'b', a)"
+    both = f"inline(case when a = b then array({one}) else array({one}, {other}) end)"
+    mirrored = pairs.selectExpr("r", both)
+    return mirrored.select(_by_name(columns, "a").alias("column_a"), _by_name(columns, "b").alias("column_b"), "r")
 
 
 def trend_surface(
