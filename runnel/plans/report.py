@@ -20,7 +20,7 @@ from runnel.operators.severity import severity_features, severity_report
 from runnel.schema import DEFAULT_ROLES, POSITIONAL, SiteRoles
 from runnel.sources.reports import write_report
 from runnel.sources.sites import read_sites_positional
-from runnel.sources.staging import stage
+from runnel.sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -74,18 +74,17 @@ def run_report(
     The columns in use are staged once. A failing analysis leaves the error
     text in place of its report and does not stop the others.
     """
-    spark = sites.sparkSession
-    table = stage(sites.select(*used_columns(roles)), "report-sites")
     outcomes = []
-    for name, analysis in (registry or analyses()).items():
-        path = f"{folder.rstrip('/')}/{name}"
-        try:
-            write_report(analysis.run(table, roles), path, analysis.key, analysis.order, analysis.drop)
-            outcomes.append(Outcome(name, path))
-        except Exception as error:  # noqa: BLE001 - reported in the file
-            text = f"Error:\n{error}"
-            spark.createDataFrame([(text,)], "value string").write.mode("overwrite").text(path)
-            outcomes.append(Outcome(name, path, str(error)))
+    with staged(sites.select(*used_columns(roles)), "report-sites") as table:
+        for name, analysis in (registry or analyses()).items():
+            path = f"{folder.rstrip('/')}/{name}"
+            try:
+                write_report(analysis.run(table, roles), path, analysis.key, analysis.order, analysis.drop)
+                outcomes.append(Outcome(name, path))
+            except Exception as error:  # noqa: BLE001 - reported in the file
+                text = table.sparkSession.createDataFrame([(f"Error:\n{error}",)], "value string")
+                text.write.mode("overwrite").text(path)
+                outcomes.append(Outcome(name, path, str(error)))
     return outcomes
 
 

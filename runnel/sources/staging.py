@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,15 +36,29 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet and return the stored table.
 
-    Select the needed columns first; only they are written.
+    Select the needed columns first; only they are written. The table stays
+    until ``release_staged``.
     """
-    spark = df.sparkSession
-    path = staging_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, staging_path(df.sparkSession, name))
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "table") -> Iterator[DataFrame]:
+    """A staged table that is deleted at the end of the block."""
+    path = staging_path(df.sparkSession, name)
+    try:
+        yield _written(df, path)
+    finally:
+        delete_path(df.sparkSession, path)
+        _staged[df.sparkSession.sparkContext.applicationId].remove(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import months
@@ -9,7 +10,7 @@ from runnel.operators import hotspots, seasonal, severity
 from runnel.plans import report
 from runnel.schema import MONTHS, SITE_COLUMNS
 from runnel.sources import reports, sites as site_files
-from runnel.sources.staging import release_staged, shared_folder, stage
+from runnel.sources.staging import release_staged, shared_folder, stage, staged
 
 HEADER = ",".join(SITE_COLUMNS)
 
@@ -206,3 +207,7 @@ def test_staging(spark):
     assert df.count() == 3 and shared_folder(spark) in df.inputFiles()[0]
     assert release_staged(spark) >= 1
     assert release_staged(spark) == 0
+    with staged(spark.range(3)) as table:
+        (file, *_) = table.inputFiles()
+        assert table.count() == 3
+    assert not Path(file.removeprefix("file://")).exists() and release_staged(spark) == 0

@@ -7,6 +7,7 @@ from conftest import months
 from pyspark.sql import functions as F
 
 from runnel.operators import panels, quality, reshape, sampling, stats
+from runnel.operators.groups import largest_rows
 from runnel.schema import DEFAULT_ROLES, MONTHS, SITE_COLUMNS
 
 NAN = float("nan")
@@ -220,3 +221,25 @@ def test_samples(spark):
     with pytest.raises(ValueError):
         sampling.require_rows(df.limit(0))
     assert [r["id"] for r in sampling.head(df, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_empty_tables(sites):
+    df = sites().limit(0)
+    assert panels.top_sites(df).collect() == []
+    assert panels.heat_points_capped(df).collect() == []
+    assert panels.hover_text(panels.concentration_points(df)).collect() == []
+    assert panels.top_sites_by_month(df).collect() == []
+    assert stats.histogram(df, "i_mid").collect() == []
+    assert stats.month_distribution(df, DEFAULT_ROLES.pollution_columns).collect() == []
+    assert {r["r"] for r in stats.correlation_matrix(df, ["X", "Y"]).collect()} <= {None}
+    assert panels.map_view(df).first()["center_y"] == 0.0
+    assert tuple(quality.table_shape(df).first()) == (0, 55)
+
+
+def test_largest_rows_with_ties_and_small_groups(spark):
+    df = spark.createDataFrame(
+        [("a", i, float(i % 5)) for i in range(4000)] + [("b", i, float(i)) for i in range(3)], "g string, i int, v double"
+    )
+    got = largest_rows(df, "g", "v", [F.col("i")], 10, spread=["i"]).collect()
+    assert [r["i"] for r in sorted(got, key=lambda r: r["rank"]) if r["g"] == "a"] == [4 + 5 * n for n in range(10)]
+    assert sorted(r["i"] for r in got if r["g"] == "b") == [0, 1, 2]
