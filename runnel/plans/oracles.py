@@ -171,7 +171,7 @@ LATEST = """latest AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY
 
 def _status(metric: str, warning: int, critical: int) -> str:
     return f"""CASE WHEN {metric} < {warning} THEN 'good' WHEN {metric} < {critical} THEN 'warning'
-  ELSE 'critical' END AS {metric}_status"""
+  WHEN {metric} IS NOT NULL THEN 'critical' END AS {metric}_status"""
 
 
 def _gauge(metric: str, default: int, reference: int, low: int, high: int, threshold: int) -> str:

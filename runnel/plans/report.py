@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,21 +73,28 @@ def run_report(
 ) -> list[Outcome]:
     """Run every analysis and write its report under ``folder``.
 
-    The columns in use are staged once. A failing analysis leaves the error
-    text in place of its report and does not stop the others.
+    The columns in use are staged once and the analyses run side by side. A
+    failing analysis leaves the error text in place of its report and does not
+    stop the others.
     """
-    outcomes = []
-    with staged(sites.select(*used_columns(roles)), "report-sites") as table:
-        for name, analysis in (registry or analyses()).items():
-            path = f"{folder.rstrip('/')}/{name}"
-            try:
-                write_report(analysis.run(table, roles), path, analysis.key, analysis.order, analysis.drop)
-                outcomes.append(Outcome(name, path))
-            except Exception as error:  # noqa: BLE001 - reported in the file
-                text = table.sparkSession.createDataFrame([(f"Error:\n{error}",)], "value string")
-                text.write.mode("overwrite").text(path)
-                outcomes.append(Outcome(name, path, str(error)))
-    return outcomes
+    chosen = registry or analyses()
+
+    def run(name: str, table: DataFrame) -> Outcome:
+        analysis, path = chosen[name], f"{folder.rstrip('/')}/{name}"
+        try:
+            write_report(analysis.run(table, roles), path, analysis.key, analysis.order, analysis.drop)
+            return Outcome(name, path)
+        except Exception as error:  # noqa: BLE001 - reported in the file
+            text = table.sparkSession.createDataFrame([(f"Error:\n{error}",)], "value string")
+            text.write.mode("overwrite").text(path)
+            return Outcome(name, path, str(error))
+
+    with (
+        staged(sites.select(*used_columns(roles)), "report-sites") as table,
+        ThreadPoolExecutor(max(1, len(chosen))) as pool,
+    ):
+        started = [pool.submit(inheritable_thread_target(sites.sparkSession)(run), name, table) for name in chosen]
+        return [s.result() for s in started]
 
 
 def main(arguments: list[str]) -> int:

@@ -47,8 +47,9 @@ WARNING_LINE = 70.0
 
 
 def status(value: Column | str, warning: float, critical: float) -> Column:
+    """Good, warning or critical; NULL without a value."""
     v = F.col(value) if isinstance(value, str) else value
-    return F.when(v < warning, "good").when(v < critical, "warning").otherwise("critical")
+    return F.when(v < warning, "good").when(v < critical, "warning").when(v.isNotNull(), "critical")
 
 
 def with_status(readings: DataFrame) -> DataFrame:
