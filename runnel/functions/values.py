@@ -58,7 +58,9 @@ def to_number(c: str) -> Column:
 
 
 def parse_float_sql(c: str) -> str:
-    return f"case when not {c} rlike '(?i)[0-9.][df][ \\\\t]*$|x' then try_cast({c} as double) end"
+    suffix = f"right(trim(trailing ' \\t\\r' from {c}), 1) in ('d', 'D', 'f', 'F') and not lower({c}) like '%inf%'"
+    return f"""case when not (contains({c}, 'x') or contains({c}, 'X') or ({suffix}))
+        then try_cast({c} as double) end"""
 
 
 def parse_float(c: str) -> Column:

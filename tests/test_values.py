@@ -52,8 +52,8 @@ def test_grid_truncates_toward_zero(spark):
 
 
 def test_parse_float_is_strict(spark):
-    good = {" 1.5 ": 1.5, "1e5": 1e5, "-.5": -0.5, "inf": math.inf, "Infinity": math.inf}
-    bad = ["1.5d", "1.5F", "0x1p3", "1,000", "", "abc"]
+    good = {" 1.5 ": 1.5, "1e5": 1e5, "-.5": -0.5, "inf": math.inf, "Infinity": math.inf, "\t2\t": 2.0}
+    bad = ["1.5d", "1.5F", "2f \t", "0x1p3", "-0X1P3", "infd", "1,000", "", "abc"]
     df = column(spark, "t", [*good, *bad], "string")
     assert one(df.select(values.parse_float("t"))) == [*good.values(), *[None] * len(bad)]
     assert math.isnan(one(column(spark, "t", ["nan"], "string").select(values.parse_float("t")))[0])
