@@ -7,7 +7,7 @@ executor costs a re-read and not a recomputation of the whole lineage.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,15 +18,9 @@ _staged: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder; a folder in the warehouse if none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="runnel-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -36,6 +30,13 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _staged else None
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release_staged(spark)
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -45,7 +46,7 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet and return the stored table.
 
     Select the needed columns first; only they are written. The table stays
-    until ``release_staged``.
+    until ``release_staged`` or the end of the program.
     """
     return _written(df, staging_path(df.sparkSession, name))
 
@@ -58,7 +59,9 @@ def staged(df: DataFrame, name: str = "table") -> Iterator[DataFrame]:
         yield _written(df, path)
     finally:
         delete_path(df.sparkSession, path)
-        _staged[df.sparkSession.sparkContext.applicationId].remove(path)
+        paths = _staged.get(df.sparkSession.sparkContext.applicationId, [])
+        if path in paths:
+            paths.remove(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

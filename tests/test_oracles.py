@@ -6,7 +6,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from runnel.plans.oracles import oracle_sql
+from runnel.plans.queries import registered as queries
 
 TABLES = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="test tables absent")
