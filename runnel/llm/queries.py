@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm import packing, sharding, tokens
+from runnel.llm import decontamination, language, packing, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -55,6 +55,27 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokens.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text hashed at once, unless a single word is longer.
 BLOCK = 1 << 18
@@ -149,7 +150,7 @@ def gram_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about so many bytes of text; one text is never cut."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     total = np.cumsum(sizes.astype(np.int64))
     i = 0
     while i < len(batch):
