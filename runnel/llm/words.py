@@ -134,18 +134,25 @@ def split_words(texts: pa.Array, members: np.ndarray = SPACED, lower: bool = Fal
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
-def gram_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of n words within a document, and their positions among the batch's words."""
+def rolling(words: Words, n: int) -> np.ndarray:
+    """Hash of the n words from every word of the batch on, also across documents."""
     total = len(words.hashes)
     if total < n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     out = np.zeros(total - n + 1, np.uint64)
     multiplier = np.uint64(0xD6E8FEB86659FD93)
     for k in range(n):
-        out = out * multiplier + words.hashes[k : total - n + 1 + k]
-    last = np.repeat(words.first[1:], np.diff(words.first))[: total - n + 1]
-    at = np.flatnonzero(np.arange(n, total + 1) <= last)
-    return mix(out[at]), at
+        out *= multiplier
+        out += words.hashes[k : total - n + 1 + k]
+    return mix(out)
+
+
+def gram_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of n words within a document, and their positions among the batch's words."""
+    hashes = rolling(words, n)
+    last = np.repeat(words.first[1:], np.diff(words.first))[: len(hashes)]
+    at = np.flatnonzero(np.arange(n, n + len(hashes)) <= last)
+    return hashes[at], at
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
@@ -159,8 +166,3 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 22) -> Ite
         yield batch.slice(i, j - i)
         i = j
 
-
-def hex_sha256(words: list[bytes]) -> str:
-    import hashlib
-
-    return hashlib.sha256(b" ".join(words)).hexdigest()
