@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm import decontamination, language, packing, sharding, substrings, tokens
+from runnel.llm import decontamination, language, packing, partenum, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -82,6 +82,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.similar_groups(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokens.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
