@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm import decontamination, language, lattice, packing, partenum, sharding, substrings, tokens
+from runnel.llm import decontamination, language, lattice, packing, pages, partenum, scoring, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -55,6 +55,12 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = scoring.backoff_scores(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"), F.round(F.col("log_score") / F.col("n_words"), 6).alias("per_word"))
+
+
 @query
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
@@ -87,6 +93,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "pages")
+    text = pages.main_text(raw, pages.fit(raw), carry=["url"])
+    return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.similar_groups(table(spark, sf_dir, "documents"), words=3, percent=90)
