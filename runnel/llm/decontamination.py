@@ -8,19 +8,19 @@ once, and hits are mapped back to words and to characters of the original.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from runnel.llm.words import ALNUM, Words, slices, split_words
+from runnel.llm.words import ALNUM, Words, buffers, slices, split_words
 from runnel.sources.staging import stage
 
 #: Bytes of item text in one broadcast automaton; more items make more automata, one scan each.
 AUTOMATON_BYTES = 1 << 22
-SPAN = "struct<first:long,last:long,start:long,end:long>"
 
 
 def item_windows(texts: list[tuple[object, str | None]], size: int) -> dict[str, tuple[int, list]]:
@@ -90,9 +90,16 @@ def hits(machine, words: Words, i: int) -> tuple[list[dict], set]:
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = 10,
+    key: str = "doc_id",
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, n_words, n_hit, items, spans) of every document.
+    """(key, n_words, n_hit, items, spans, carried columns) of every document.
 
     An item's windows are its runs of ``size`` words, or all its words if it
     has fewer; an item without words has none. items are the ids (as strings,
@@ -107,8 +114,10 @@ def contamination(
     items = benchmark.select(F.col(item_key).cast("string").alias("item"), F.col(item_text).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // AUTOMATON_BYTES))
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    id_type = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
+    word_span = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "start", "end")])
+    result = T.StructType().add("id", rows.schema["id"].dataType).add("row", T.LongType()).add("n_words", T.LongType())
+    result = result.add("items", T.ArrayType(T.StringType())).add("spans", T.ArrayType(word_span)).add("carry", rows.schema["carry"].dataType)
     if groups > 1:
         rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "documents")
     else:
@@ -125,7 +134,7 @@ def contamination(
                 for piece in slices(batch, "text"):
                     words = split_words(piece.column("text"), ALNUM, lower=True)
                     spans, held = [], []
-                    starts = _text_starts(piece.column("text"))
+                    starts = buffers(piece.column("text"))[1]
                     for i in range(len(piece)):
                         found, names = hits(machine, words, i)
                         for s in found:
@@ -136,31 +145,25 @@ def contamination(
                         spans.append(found)
                         held.append(sorted(names))
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column("id"), piece.column("row"), pa.array(np.diff(words.first)), pa.array(held, pa.list_(pa.string())), pa.array(spans, span)],
-                        names=["id", "row", "n_words", "items", "spans"],
+                        [piece.column("id"), piece.column("row"), pa.array(np.diff(words.first)), pa.array(held, pa.list_(pa.string())), pa.array(spans, span), piece.column("carry")],
+                        names=["id", "row", "n_words", "items", "spans", "carry"],
                     )
 
-        return rows.mapInArrow(run, f"id {id_type}, row long, n_words long, items array<string>, spans array<{SPAN}>")
+        return rows.mapInArrow(run, result)
 
     found = scan(0)
     if groups > 1:
         for g in range(1, groups):
             found = found.union(scan(g))
 
-        @F.arrow_udf(f"array<{SPAN}>")
+        @F.arrow_udf(T.ArrayType(word_span))
         def joined(spans: pa.Array) -> pa.Array:
             return pa.array([union(x) for x in spans.to_pylist()], spans.type)
 
         found = (
             found.groupBy("row")
-            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("carry").alias("carry"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
             .withColumn("spans", joined("spans"))
         )
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return found.select(F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), "items", "spans")
-
-
-def _text_starts(texts: pa.Array) -> np.ndarray:
-    from runnel.llm.words import buffers
-
-    return buffers(texts)[1]
+    return found.select(F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), "items", "spans", *[F.col("carry")[c].alias(c) for c in carry])

@@ -10,13 +10,14 @@ document's.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runnel.llm.words import LOWER, buffers, slices
 
@@ -205,8 +206,8 @@ def _has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score, spans) of every row.
+def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(key, lang_pred, score, spans, carried columns) of every row.
 
     spans are the labelled parts of a text in characters, in order. lang_pred
     has the most letters in its spans (ties: the first by name), score is its
@@ -215,8 +216,10 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     language with its share as score. Rows with equal or null keys are judged one by one.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    id_type = docs.schema[key].dataType.simpleString()
-    span = "array<struct<start:long,end:long,lang:string>>"
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
+    span = T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("lang", T.StringType())
+    result = T.StructType().add("id", rows.schema["id"].dataType).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    result = result.add("spans", T.ArrayType(span)).add("carry", rows.schema["carry"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -255,10 +258,10 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                         names=["start", "end", "lang"],
                     ),
                 )
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names[choice], pa.string()), pa.array(score, pa.float64()), spans], names=["id", "lang_pred", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names[choice], pa.string()), pa.array(score, pa.float64()), spans, part.column("carry")], names=["id", "lang_pred", "score", "spans", "carry"])
 
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, lang_pred string, score double, spans {span}").withColumnRenamed("id", key)
+    out = rows.mapInArrow(run, result)
+    return out.select(F.col("id").alias(key), "lang_pred", "score", "spans", *[F.col("carry")[c].alias(c) for c in carry])
 
 
 def held_out(key: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
