@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm import decontamination, language, lattice, packing, pages, partenum, scoring, sharding, substrings, tokens
+from runnel.llm import decontamination, language, lattice, oracles, packing, pages, partenum, scoring, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
-_sql: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
@@ -24,7 +23,7 @@ def registered() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    return dict(oracles.SQL)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
