@@ -33,8 +33,10 @@ THIRDS = 3
 BUCKET = 1 << 19
 #: Bands with fewer parts are partitioned twice, by two hashes.
 FEW_PARTS = 24
+#: Bits of a set's parity sketch.
+SKETCH = 512
 #: Comparisons of group members with others in one round; if there are more, HUBS members of each group at a time.
-PAIRS = 2_000_000
+PAIRS = 100_000_000
 HUBS = 8
 
 
@@ -132,6 +134,19 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
     return np.concatenate(out), np.concatenate(owners)
 
 
+def parity_sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """SKETCH bits for each set: whether an odd number of its elements falls on the bit.
+
+    Elements that two sets share cancel out, so the sketches differ in no more
+    bits than the sets in elements.
+    """
+    count = len(bounds) - 1
+    owner = np.repeat(np.arange(count), np.diff(bounds))
+    bit = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(SKETCH)).astype(np.int64)
+    odd = np.bincount(owner * SKETCH + bit, minlength=count * SKETCH).reshape(count, SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
 _BLOB = "bucket int, local boolean, signatures binary, members binary, classes binary"
 
 
@@ -259,12 +274,16 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
                 fresh = [c not in seen and not seen.add(c) for c in part.column("class").to_pylist()]
                 part = part.filter(pa.array(fresh, pa.bool_()))
                 hashes, bounds = shingle_sets(part.column("text"), words)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("class"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))], names=["class", "shingles"]
-                )
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(parity_sketches(hashes, bounds).ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(np.diff(bounds)), lists, bits], names=["class", "n", "shingles", "sketch"])
 
     texts = rows.select("k1", "k2", "text").repartition(n, "k1", "k2").join(chosen, ["k1", "k2"])
-    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, shingles array<long>"), "sets")
+    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>"), "sets")
+    sketches = held.select("class", "n", "sketch")
+    # A lower bound of the elements in one set only, against what a similar pair may have.
+    apart = " + ".join(f"bit_count(x[{i}] ^ y[{i}])" for i in range(SKETCH // 64))
+    possible = F.expr(f"({apart}) * {100 + percent} <= {100 - percent} * (na + nb)")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = held.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -275,27 +294,35 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
 
     hub = members.groupBy("signature").agg(F.min("class").alias("a"))
     pairs = members.join(hub, "signature").where("class != a").select("a", F.col("class").alias("b")).distinct()
-    links = stage(verified(pairs), "links")
+    pairs = pairs.join(sketches.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x")), "a")
+    pairs = pairs.join(sketches.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y")), "b").where(possible)
+    links = stage(verified(pairs.select("a", "b")), "links")
     done = spark.createDataFrame([], "signature long, class long")
-    while True:
-        groups = stage(components(links), "components")
-        # Signatures whose classes are not yet in one component; the component with most of them is their rest.
+    whole = False
+    groups = stage(components(links), "components")
+    while not whole:
+        # Signatures whose classes are not all in one component; the component with most of them is their rest,
+        # and every other member is compared with all of other components.
         joined = members.join(groups.withColumnRenamed("node", "class"), "class", "left").select("signature", "class", F.coalesce("component_id", "class").alias("component"))
-        split = joined.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low != high")
-        unsettled = stage(joined.join(split.select("signature", "size"), "signature"), "unsettled")
-        sizes = unsettled.groupBy("signature", "component").agg(F.count("*").alias("m"))
+        torn = joined.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low != high")
+        torn = stage(joined.join(torn.select("signature", "size"), "signature").join(sketches, "class"), "torn")
+        sizes = torn.groupBy("signature", "component").agg(F.count("*").alias("m"))
         rest = sizes.groupBy("signature").agg(F.max(F.struct("m", "component")).getField("component").alias("rest"))
-        hubs = stage(unsettled.join(rest, "signature").where("component != rest").join(done, ["signature", "class"], "left_anti"), "hubs")
+        hubs = torn.join(rest, "signature").where("component != rest").join(done, ["signature", "class"], "left_anti")
         asked, most = hubs.agg(F.count("*"), F.sum("size")).first()
         if not asked:
             break
-        if most > PAIRS:
+        whole = most <= PAIRS
+        if not whole:
             order = Window.partitionBy("signature").orderBy("class")
-            hubs = hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS)
-        done = stage(done.union(hubs.select("signature", "class")), "done")
-        pairs = unsettled.join(hubs.select("signature", F.col("class").alias("a"), F.col("component").alias("own")), "signature").where("component != own")
-        pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
+            hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "hubs")
+            done = stage(done.union(hubs.select("signature", "class")), "done")
+        x = hubs.select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+        y = torn.select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+        pairs = x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & possible)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = stage(links.union(verified(pairs)), "links")
+        groups = stage(components(links), "components")
     classes = digests.where("n > 0").join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component_id", "class"))
     lowest = classes.groupBy("component").agg(F.min("id").alias("component_id"))
     out = classes.drop("component_id").join(lowest, "component").select("id", "n", "component_id").union(empty)
