@@ -27,7 +27,8 @@ from runnel.llm.words import SPACED, Words, rolling, split_words
 #: Bytes of text in a slice, and n-grams in a partition of the count table, on average.
 SLICE = 1 << 23
 COUNTS = 1 << 20
-_KEY = np.uint64((1 << 48) - 1)
+#: Bits of a hash that are not kept; buckets and keys are its upper bits.
+DROPPED = np.uint64(8)
 
 
 def _grams(words: Words, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -40,7 +41,8 @@ def _grams(words: Words, order: int) -> tuple[list[np.ndarray], np.ndarray, np.n
         at = np.flatnonzero(place >= k - 1)
         hashes.append(rolling(words, k)[at - (k - 1)] if len(at) else np.zeros(0, np.uint64))
         ends.append(at)
-    distinct, inverse, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    distinct, inverse, counts = np.unique(np.concatenate(hashes) >> DROPPED, return_inverse=True, return_counts=True)
+    # Hashes that agree in the kept bits count as one n-gram.
     ids, begin = [], 0
     for at in ends:
         own = np.full(len(place), -1, np.int64)
@@ -50,11 +52,16 @@ def _grams(words: Words, order: int) -> tuple[list[np.ndarray], np.ndarray, np.n
     return ids, distinct, counts
 
 
-def _dealt(distinct: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each distinct n-gram, and the bounds of the buckets among them."""
-    bucket = ((distinct >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
-    # Buckets are ranges of the upper bits and the n-grams are sorted, so they are in order already.
-    return bucket, np.searchsorted(bucket, np.arange(buckets + 1))
+def narrow(values: np.ndarray) -> bytes:
+    """Non-negative integers in the smallest type that holds them."""
+    most = int(values.max()) if len(values) else 0
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)
+    return values.astype(kind).tobytes()
+
+
+def widen(blob: bytes, count: int) -> np.ndarray:
+    width = len(blob) // count if count else 1
+    return np.frombuffer(blob, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[width]).astype(np.int64)
 
 
 def scores(words: Words, order: int, alpha: float, ids: Sequence[np.ndarray], totals: np.ndarray, corpus: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +107,7 @@ def backoff_scores(
     to the power of its possible orders, over one more than the words elsewhere.
     Null and empty texts have no words and a score of 0. Rows with equal or null
     keys are documents of their own, each evidence for the other. An empty table
-    gives an empty result. N-grams are compared by 48 bits of hash inside their
+    gives an empty result. N-grams are compared by 56 bits of hash inside their
     partition of the count table.
     """
     spark = docs.sparkSession
@@ -120,41 +127,47 @@ def backoff_scores(
     def ask(table: pa.Table) -> pa.Table:
         words = split_words(table.column("text").combine_chunks(), SPACED, lower=True)
         _, distinct, counts = _grams(words, order)
-        bucket, bounds = _dealt(distinct, buckets)
+        # The n-grams are sorted and buckets are ranges of their upper bits: each bucket gets one run, as steps.
+        keys = distinct.astype(np.int64)
+        bounds = np.searchsorted(((keys >> 40) * buckets) >> 16, np.arange(buckets + 1))
+        steps = np.diff(keys, prepend=0)
         at = np.flatnonzero(np.diff(bounds))
-        low = (distinct & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        high = ((distinct >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16)
+        first = keys[bounds[at]]
+        steps[bounds[at]] = 0
         cut = [(bounds[b], bounds[b + 1]) for b in at]
         return pa.table(
             {
                 "bucket": pa.array(at, pa.int32()),
                 "slice": pa.array([table.column("slice")[0].as_py()] * len(at), pa.int32()),
-                **{name: pa.array([values[a:b].tobytes() for a, b in cut], pa.binary()) for name, values in (("low", low), ("high", high), ("n", counts.astype(np.uint32)))},
+                "first": pa.array(first, pa.int64()),
+                "size": pa.array([b - a for a, b in cut], pa.int32()),
+                **{name: pa.array([narrow(values[a:b]) for a, b in cut], pa.binary()) for name, values in (("low", steps & 0xFFFFFFFF), ("high", steps >> 32), ("n", counts))},
             }
         )
 
     def count(table: pa.Table) -> pa.Table:
-        parts = [
-            np.frombuffer(low, np.uint32).astype(np.uint64) | (np.frombuffer(high, np.uint16).astype(np.uint64) << np.uint64(32))
-            for low, high in zip(table.column("low").to_pylist(), table.column("high").to_pylist())
-        ]
-        numbers = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("n").to_pylist()])
+        sizes = table.column("size").to_pylist()
+        firsts = table.column("first").to_pylist()
+        halves = zip(table.column("low").to_pylist(), table.column("high").to_pylist(), sizes, firsts)
+        parts = [np.cumsum(widen(low, k) + (widen(high, k) << 32)) + first for low, high, k, first in halves]
+        numbers = np.concatenate([widen(x, k) for x, k in zip(table.column("n").to_pylist(), sizes)])
         distinct, inverse = np.unique(np.concatenate(parts), return_inverse=True)
         totals = np.zeros(len(distinct), np.int64)
         np.add.at(totals, inverse, numbers)
-        answers = np.split(totals[inverse], np.cumsum([len(x) for x in parts])[:-1])
-        return pa.table({"bucket": table.column("bucket"), "slice": table.column("slice"), "totals": pa.array([a.tobytes() for a in answers], pa.binary())})
+        answers = np.split(totals[inverse], np.cumsum(sizes)[:-1])
+        return pa.table(
+            {"bucket": table.column("bucket"), "slice": table.column("slice"), "size": table.column("size"), "totals": pa.array([narrow(a) for a in answers], pa.binary())}
+        )
 
     def answer(documents: pa.Table, totals: pa.Table) -> pa.Table:
         words = split_words(documents.column("text").combine_chunks(), SPACED, lower=True)
         ids, distinct, _ = _grams(words, order)
-        order_of = np.argsort(totals.column("bucket").to_numpy())
-        blobs = totals.column("totals").to_pylist()
-        known = np.concatenate([np.frombuffer(blobs[i], np.int64) for i in order_of] + [np.zeros(0, np.int64)])
+        blobs, sizes = totals.column("totals").to_pylist(), totals.column("size").to_pylist()
+        known = np.concatenate([widen(blobs[i], sizes[i]) for i in np.argsort(totals.column("bucket").to_numpy())] + [np.zeros(0, np.int64)])
         sums, backed_off = scores(words, order, alpha, ids, known, corpus_words)
         return pa.table({"id": documents.column("id"), "n_words": pa.array(np.diff(words.first)), "n_backed_off": pa.array(backed_off.astype(np.int64)), "log_score": pa.array(sums)})
 
-    asked = rows.groupBy("slice").applyInArrow(ask, "bucket int, slice int, low binary, high binary, n binary")
-    counted = asked.groupBy("bucket").applyInArrow(count, "bucket int, slice int, totals binary")
+    asked = rows.groupBy("slice").applyInArrow(ask, "bucket int, slice int, first long, size int, low binary, high binary, n binary")
+    counted = asked.groupBy("bucket").applyInArrow(count, "bucket int, slice int, size int, totals binary")
     scored = rows.groupBy("slice").cogroup(counted.groupBy("slice")).applyInArrow(answer, f"id {id_type}, n_words long, n_backed_off long, log_score double")
     return scored.withColumnRenamed("id", key)
