@@ -43,6 +43,10 @@ def nan_to_null(c: str) -> Column:
     return F.expr(nan_to_null_sql(c))
 
 
+def nan_to_null_column(c: Column) -> Column:
+    return F.when(~F.isnan(c), c)
+
+
 def all_present(columns: Iterable[str]) -> Column:
     """True when no column is NULL; a field that could not be parsed is NULL."""
     return F.expr(" and ".join(f"{quoted(c)} is not null" for c in dict.fromkeys(columns)))

@@ -27,12 +27,11 @@ def largest_rows(
     The maxima of many slots of a group (by a hash of ``spread``) belong to
     different rows, so their k-th largest bounds the group's k-th largest value
     from below. Rows under that bound are dropped before anything is sorted.
-    ``group`` must have few distinct values: the bounds are broadcast.
     """
     slot = F.pmod(F.xxhash64(*spread), F.lit(max(64, 16 * k))).alias("_slot")
     maxima = df.groupBy(group, slot).agg(F.max(value).alias("_bound"))
     bounds = first_rows(maxima, [group], [F.desc("_bound")], k).where(F.col("_rank") == k).drop("_rank", "_slot")
-    near = df.join(F.broadcast(bounds), group, "left").where(F.col("_bound").isNull() | (F.col(value) >= F.col("_bound")))
+    near = df.join(bounds, group, "left").where(F.col("_bound").isNull() | (F.col(value) >= F.col("_bound")))
     return first_rows(near.drop("_bound"), [group], [F.desc(value), *ties], k, rank)
 
 

@@ -74,7 +74,9 @@ def hotspots(
         .withColumn("score", F.col("total") * F.col("locations_count") * F.col("mean_density") / 1000.0)
         .where((F.col("locations_count") >= min_locations) & (F.col("score") > min_score))
     )
-    listed = sample_lists(points, CELL, order or [F.col("x"), F.col("y")], site_key("x", "y"), samples)
+    # Only points of hot cells are ranked for the samples.
+    hot = points.join(cells.select(*CELL), list(CELL), "left_semi")
+    listed = sample_lists(hot, CELL, order or [F.col("x"), F.col("y")], site_key("x", "y"), samples)
     return cells.join(listed, list(CELL)).select(
         cell_name(grid_size).alias("grid"),
         "locations_count",

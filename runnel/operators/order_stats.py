@@ -4,8 +4,9 @@ Built-in exact percentiles keep every distinct value of a column in one task,
 and a global sort shuffles the whole column. Here a column is scanned a few
 times instead: a histogram by magnitude finds the bucket that holds the wanted
 rank, the next scan splits only that bucket, and so on until the value is
-known. Each scan shuffles and returns histogram rows alone; their number is
-bounded by ``budget`` however large the table is, and the result is exact.
+known. Each scan shuffles and returns histogram rows alone; they number at most
+``budget`` (at least LEAST_BUDGET, or two for each wanted rank) however large the
+table is and however many columns it has, and the result is exact.
 
 The functions run Spark jobs when called and return plain numbers, so callers
 put thresholds into their plans as literals. Feed them a stored or staged
@@ -27,6 +28,9 @@ from runnel.functions.values import quoted
 #: Upper bound for the histogram rows that one scan returns.
 HISTOGRAM_ROWS = 1 << 17
 
+#: Histogram rows that a column needs at least; more columns than fit are read in groups.
+LEAST_BUDGET = 64
+
 # Doubles span 2**-1074 to 2**1024; 1025 stands for infinity.
 _EXPONENTS = 2200
 
@@ -65,10 +69,11 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def _magnitude(v: Column, parts: int) -> Column:
-    """Bucket by sign and binary exponent, ``parts`` buckets per octave; rises with v."""
-    exponent = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * parts)
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * (exponent + 1100 * parts)).cast("long")
+def _magnitude(v: Column, parts: float) -> Column:
+    """Bucket by sign and binary exponent, ``parts`` buckets per octave (also under 1); rises with v."""
+    exponent = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * float(parts))
+    above_all = math.ceil(1100 * parts) + 1
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * (exponent + above_all)).cast("long")
 
 
 def _histogram(counted: DataFrame) -> dict[str, np.ndarray]:
@@ -148,8 +153,16 @@ def order_statistics(
     in ascending value order.
     """
     columns = list(columns)
+    budget = max(budget, LEAST_BUDGET)
+    group = budget // LEAST_BUDGET
+    if len(columns) > group:
+        out = {}
+        for at in range(0, len(columns), group):
+            out |= order_statistics(df, columns[at : at + group], ranks, budget)
+        return out
     results = {c: ColumnRanks() for c in columns}
-    parts = max(1, min(16, budget // (2 * _EXPONENTS * len(columns))))
+    # A column has at most 2 * (exponents * parts + 2) + 1 buckets.
+    parts = min(16.0, (budget / len(columns) - 5) / (2 * _EXPONENTS))
     tally = [F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
     rows = _histogram(
         _long(df, columns)

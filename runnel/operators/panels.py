@@ -167,7 +167,7 @@ def top_sites_by_month(
 
 def axis_limit(top: DataFrame, column: str = "monthly_input") -> DataFrame:
     """Upper axis limit: 1.1 times the largest value."""
-    return top.agg((F.max(column) * 1.1).alias("axis_limit"))
+    return top.agg((F.max(nan_to_null(column)) * 1.1).alias("axis_limit"))
 
 
 def severity_table(

@@ -44,10 +44,10 @@ def _per_month(df: DataFrame, aggregate: str, columns: Sequence[str], labels: Se
 
 
 def monthly_totals(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = MONTHS) -> DataFrame:
-    """Sum per month column, in calendar order; 0 for a column without values."""
-    return _per_month(df, "coalesce(sum({}), 0D)", columns, labels, "total").orderBy("month_index")
+    """Sum per month column, in calendar order; 0 for a column without values. NaN counts as missing."""
+    return _per_month(df, "coalesce(sum(nanvl({}, cast(null as double))), 0D)", columns, labels, "total").orderBy("month_index")
 
 
 def monthly_means(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = MONTHS) -> DataFrame:
     """Mean per month column over the present values, in calendar order."""
-    return _per_month(df, "avg({})", columns, labels, "average").orderBy("month_index")
+    return _per_month(df, "avg(nanvl({}, cast(null as double)))", columns, labels, "average").orderBy("month_index")

@@ -17,21 +17,13 @@ def require_rows(df: DataFrame, what: str = "table") -> None:
         raise ValueError(f"the {what} is empty")
 
 
-def sample_share(df: DataFrame, size: int = 1000, seed: int | None = None) -> DataFrame:
-    """About ``size`` random rows (all of them when there are fewer)."""
-    rows = df.count()
-    if rows == 0:
-        raise ValueError("the table is empty")
-    share = size / rows
-    return df if share >= 1 else df.sample(fraction=share, seed=seed)
-
-
 def sample_rows(df: DataFrame, key: Sequence[str], size: int = 1500, seed: int = 42) -> DataFrame:
     """Exactly ``size`` rows (all when fewer), the same ones on every run.
 
     Rows are picked in the order of a seeded hash of their unique ``key``. A
     count per hash prefix finds how far that order must be read, so only about
-    ``size`` rows are sorted and not ``size`` per task.
+    ``size`` rows are sorted and not ``size`` per task. They end in one task, so
+    ``size`` must fit there.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
     hashed = df.withColumn("_hash", digest)
@@ -42,6 +34,15 @@ def sample_rows(df: DataFrame, key: Sequence[str], size: int = 1500, seed: int =
     return near.orderBy("_hash").limit(size).drop("_hash")
 
 
+def sample_share(df: DataFrame, key: Sequence[str], size: int = 1000, seed: int = 42) -> DataFrame:
+    """The share of the rows that makes ``size`` of them (all when fewer); an empty table is an error.
+
+    The same rows for every partitioning, as in ``sample_rows``.
+    """
+    require_rows(df)
+    return sample_rows(df, key, size, seed)
+
+
 def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows by a declared order."""
     return df.orderBy(*order).limit(n)

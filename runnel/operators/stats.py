@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.functions.values import min_max_scaled, nan_to_null, quoted
+from runnel.functions.values import min_max_scaled, nan_to_null, nan_to_null_column, quoted
 from runnel.operators.order_stats import HISTOGRAM_ROWS, doubles, quantiles
 from runnel.operators.reshape import months_long
 from runnel.schema import MONTHS
@@ -87,11 +87,15 @@ def month_distribution(
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins between minimum and maximum: bin 1..n, its edges, count.
+    """Equal-width bins between the finite minimum and maximum: bin 1..n, its edges, count.
 
-    Empty bins give no row; the maximum belongs to the last bin.
+    Empty bins give no row; the maximum belongs to the last bin. Infinite values
+    have a row of their own each, without a bin, and the value as both edges.
     """
-    values = df.select(nan_to_null(column).alias("v")).where("v is not null")
+    present = df.select(nan_to_null(column).cast("double").alias("v")).where("v is not null")
+    infinite = F.abs("v") == F.lit(float("inf"))
+    values = present.where(~infinite)
+    outside = present.where(infinite).groupBy("v").agg(F.count("*").alias("count"))
     extent = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     placed = values.select("v", extent.alias("e")).select(
         (F.least(F.floor(F.coalesce(min_max_scaled("v", "e.low", "e.high"), F.lit(0.0)) * bins),
@@ -99,7 +103,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         F.col("e.low").alias("low"),
         ((F.col("e.high") - F.col("e.low")) / bins).alias("width"),
     )
-    return (
+    binned = (
         placed.groupBy("bin", "low", "width")
         .agg(F.count("*").alias("count"))
         .select(
@@ -109,6 +113,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
             "count",
         )
     )
+    return binned.union(outside.select(F.lit(None).cast("int"), "v", "v", "count"))
 
 
 def extremes(df: DataFrame, column: str) -> DataFrame:
@@ -135,7 +140,7 @@ def _pair_moments(shift: Sequence[float]):
         n, s, q, p = (np.zeros((k, k)) for _ in range(4))
         for batch in batches:
             values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
-            present = ~np.isnan(values)
+            present = np.isfinite(values)
             d = np.where(present, values - centre, 0.0)
             w = present.astype(float)
             n += w.T @ w
@@ -149,33 +154,42 @@ def _pair_moments(shift: Sequence[float]):
     return run, "a bigint, b bigint, " + ", ".join(f"{c} double" for c in names[2:])
 
 
-def _typical_row(table: DataFrame, rows: int = 200) -> list[float]:
-    """Column means of the first few rows; 0 for a column without values there."""
-    values = np.array([list(r) for r in table.take(rows)], dtype=float).reshape(-1, len(table.columns))
-    present = np.isfinite(values)
-    counts = np.maximum(present.sum(axis=0), 1)
-    return (np.where(present, values, 0.0).sum(axis=0) / counts).tolist()
+def _centres_and_scales(table: DataFrame) -> tuple[list[float], list[float]]:
+    """Mean and largest size of the finite values of every column; 0 for a column without any."""
+    finite = [f"case when abs({quoted(c)}) < double('inf') then {quoted(c)} end" for c in table.columns]
+    row = table.selectExpr(*[f"{f} as `{i}`" for i, f in enumerate(finite)]).selectExpr(
+        *[f"coalesce(avg(`{i}`), 0D)" for i in range(len(finite))],
+        *[f"coalesce(max(abs(`{i}`)), 0D)" for i in range(len(finite))],
+    ).first()
+    return list(row[: len(finite)]), list(row[len(finite) :])
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of every column pair over the rows where both are present.
 
     Long form (column_a, column_b, r), both triangles and the diagonal; r is
-    NULL where a column does not vary. Each task multiplies its batches as
-    matrices and sends one row per pair; values are first moved by a typical
-    row, so large offsets do not cancel.
+    NULL where a column does not vary. NULL, NaN and infinite values count as
+    absent. Each task multiplies its batches as matrices and sends one row per
+    pair; values are first moved by the column's mean over all rows, so large
+    offsets do not cancel. A spread within the rounding of the column's largest
+    value counts as none, whatever the order of the rows.
     """
     columns = list(columns or numeric_columns(df))
     table = df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" for c in columns])
-    run, schema = _pair_moments(_typical_row(table))
+    centres, scales = _centres_and_scales(table)
+    run, schema = _pair_moments(centres)
     n, sa, sb, saa, sbb, sab = (F.col(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab"))
 
-    def spread(total: Column, squares: Column) -> Column:
+    rounding = [(x * 2.0**-50) ** 2 for x in scales]
+
+    def spread(total: Column, squares: Column, position: str) -> Column:
         # What rounding leaves of a constant column counts as no spread.
         v = squares - F.try_divide(total * total, n)
-        return F.when(v > squares * 1e-12, v)
+        least = F.expr(f"get(array({', '.join(f'{x!r}D' for x in rounding)}), cast({position} as int))")
+        return F.when((v > squares * 1e-12) & (v > n * least), v)
 
-    r = (sab - F.try_divide(sa * sb, n)) / F.sqrt(spread(sa, saa) * spread(sb, sbb))
+    r = (sab - F.try_divide(sa * sb, n)) / F.sqrt(spread(sa, saa, "a") * spread(sb, sbb, "b"))
+    r = nan_to_null_column(r)
     pairs = (
         table.mapInArrow(run, schema)
         .groupBy("a", "b")
@@ -189,7 +203,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 
 
 def trend_surface(
-    df: DataFrame, x: str = "X", y: str = "Y", value: str = "i_mid", nodes: int = 20, min_points: int = 100
+    df: DataFrame, x: str = "X", y: str = "Y", value: str = "i_mid", nodes: int = 20, min_points: int = 0
 ) -> DataFrame:
     """Mean ``log1p`` of the value at the nodes of a regular grid over x and y.
 

@@ -460,6 +460,9 @@ FROM placed GROUP BY concentration_category""",
 FROM placed""",
             CONCENTRATION,
         ),
+        "sample_share": _on_site(
+            f"SELECT {coordinates}, i_mid FROM site ORDER BY md5('42|' || CAST(site_id AS VARCHAR)) LIMIT 1000"
+        ),
         "sample_rows": _on_site(
             f"SELECT {coordinates}, i_mid FROM site ORDER BY md5('42|' || CAST(site_id AS VARCHAR)) LIMIT 1500"
         ),

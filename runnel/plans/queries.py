@@ -259,7 +259,7 @@ def largest_site(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def trend_surface(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats.trend_surface(tables.sites(spark, d)))
+    return rounded(stats.trend_surface(tables.sites(spark, d), min_points=100))
 
 
 # Panels ---------------------------------------------------------------------
@@ -377,7 +377,7 @@ def concentration_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sample_share(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.sample_share(staged(spark, d, *coordinates("i_mid")), 1000, seed=42)
+    return sampling.sample_share(staged(spark, d, *coordinates("i_mid")), ["site_id"], 1000, seed=42)
 
 
 @query

@@ -33,6 +33,8 @@ class Analysis:
     key: Column
     order: Sequence[str]
     drop: tuple[str, ...] = ()
+    #: Columns it reads besides those of the roles in ``used_columns``.
+    columns: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -78,6 +80,7 @@ def run_report(
     stop the others.
     """
     chosen = registry or analyses()
+    columns = dict.fromkeys([*used_columns(roles), *(c for a in chosen.values() for c in a.columns)])
 
     def run(name: str, table: DataFrame) -> Outcome:
         analysis, path = chosen[name], f"{folder.rstrip('/')}/{name}"
@@ -90,7 +93,7 @@ def run_report(
             return Outcome(name, path, str(error))
 
     with (
-        staged(sites.select(*used_columns(roles)), "report-sites") as table,
+        staged(sites.select(*columns), "report-sites") as table,
         ThreadPoolExecutor(max(1, len(chosen))) as pool,
     ):
         started = [pool.submit(inheritable_thread_target(sites.sparkSession)(run), name, table) for name in chosen]

@@ -27,13 +27,29 @@ def coerce_number(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, nan_to_null(f"try_cast({quoted(column)} as double)"))
 
 
+def _by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV files as text columns, by name: files with unlike headers are read apart and put together."""
+    reader = spark.read.option("header", True).option("escape", '"')
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    first = lines.where("block = 0").withColumn("place", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    # One row per header, with its files.
+    kinds = first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    if len(kinds) < 2:
+        return reader.csv(path)
+    tables = [reader.csv(sorted(kind.files)) for kind in kinds]
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table, allowMissingColumns=True)
+    return out
+
+
 def read_sites(
     spark: SparkSession,
     path: str | list[str],
     missing_months: Literal["error", "skip"] = "error",
     on_error: Literal["raise", "empty"] = "raise",
 ) -> DataFrame:
-    """Read site files by header name.
+    """Read site files by header name, each file by its own header.
 
     Site columns come back as doubles with NULL for missing, bad and NaN text;
     the monthly mid estimates may carry thousands commas. Other columns stay
@@ -41,9 +57,9 @@ def read_sites(
     a missing file is one unless ``on_error="empty"``.
     """
     try:
-        raw = spark.read.option("header", True).option("escape", '"').csv(path)
-    except AnalysisException:
-        if on_error == "raise":
+        raw = _by_header(spark, path)
+    except AnalysisException as error:
+        if on_error == "raise" or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], SITE_SCHEMA)
     month_columns = [f"i_mid_{m}" for m in MONTHS]

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from runnel.sources.staging import delete_path
@@ -41,6 +40,11 @@ def history_writer(
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The readings kept after the newest batch."""
-    kept = spark.read.parquet(path)
-    return kept.where(F.col("batch") == kept.agg(F.max("batch")).scalar()).drop("batch")
+    """The readings kept after the newest batch that was written to its end."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    marks = system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch=*/_SUCCESS"))
+    batches = [int(m.getPath().getParent().getName().removeprefix("batch=")) for m in marks or []]
+    if not batches:
+        raise ValueError(f"no finished batch under {path}")
+    return spark.read.parquet(_table(path, max(batches)))

@@ -211,3 +211,30 @@ def test_staging(spark):
         (file, *_) = table.inputFiles()
         assert table.count() == 3
     assert not Path(file.removeprefix("file://")).exists() and release_staged(spark) == 0
+
+
+def test_files_with_unlike_column_order(spark, tmp_path):
+    names = list(SITE_COLUMNS)
+    for folder, columns in (("a", names), ("b", names[::-1])):
+        (tmp_path / folder).mkdir()
+        values = {"X": "1" if folder == "a" else "2", "Y": "54", "area": "7"}
+        (tmp_path / folder / "part.csv").write_text(",".join(columns) + "\n" + ",".join(values.get(c, "0") for c in columns) + "\n")
+    df = site_files.read_sites(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    rows = sorted((r["X"], r["Y"], r["area"]) for r in df.collect())
+    assert rows == [(1.0, 54.0, 7.0), (2.0, 54.0, 7.0)] and df.columns == names
+
+
+def test_report_stages_the_columns_an_added_analysis_names(spark, sites, tmp_path):
+    from runnel.plans.report import Analysis, run_report
+
+    by_weight = Analysis(lambda df, roles: df.agg(F.sum("mpw").alias("total")).select(F.lit("all").alias("k"), "total"), F.col("k"), ["k"], ("k",), ("mpw",))
+    (outcome,) = run_report(sites({"mpw": 2.0}, {"mpw": 3.0}), str(tmp_path / "out"), registry={"weights": by_weight})
+    assert outcome.error is None and spark.read.text(outcome.path).first()["value"] == '"all"\t{"total": 5.0}'
+
+
+def test_staged_table_may_be_released_inside_its_block(spark):
+    from runnel.sources.staging import release_staged, staged
+
+    with staged(spark.range(3)) as table:
+        assert table.count() == 3
+        release_staged(spark)

@@ -55,3 +55,18 @@ def test_every_rank(spark, values, budget):
 def test_integer_and_odd_names(spark):
     df = spark.range(11).selectExpr("id as `a b`")
     assert quantiles(df, ["a b"], [0.5]) == {"a b": [5.0]}
+
+
+@pytest.mark.parametrize("columns, budget", [(1, 64), (55, 1 << 12), (500, 1 << 13)])
+def test_scans_return_no_more_rows_than_the_budget(spark, monkeypatch, columns, budget):
+    from runnel.operators import order_stats
+
+    returned = []
+    plain = order_stats._histogram
+    monkeypatch.setattr(order_stats, "_histogram", lambda counted: returned.append(counted.count()) or plain(counted))
+    rng = np.random.default_rng(11)
+    data = [floats(rng.choice([-1, 1], 60) * 2.0 ** rng.uniform(-1000, 1000, 60)) for _ in range(columns)]
+    names = [f"c{i}" for i in range(columns)]
+    got = quantiles(frame(spark, *data).coalesce(2), names, [0.5], budget)
+    assert max(returned) <= budget
+    assert all(got[c][0] == pytest.approx(float(np.median(v))) for c, v in zip(names, data))

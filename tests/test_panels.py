@@ -189,7 +189,43 @@ def test_trend_surface(sites):
     assert rows[3, 2]["level"] == pytest.approx(math.log1p(43)) and rows[3, 2]["x"] == 3.0
     sparse = sites(*[{"X": 0.0 if i else 19.0, "Y": 0.0 if i else 19.0, "i_mid": 1.0} for i in range(101)])
     assert sum(r["level"] > 0 for r in stats.trend_surface(sparse).collect()) == 2
-    assert stats.trend_surface(sparse.limit(100)).collect() == []
+    assert stats.trend_surface(sparse.limit(100), min_points=100).collect() == []
+    assert len(stats.trend_surface(sparse.limit(3)).collect()) == 400
+
+
+def correlations(df):
+    return {(r["column_a"], r["column_b"]): r["r"] for r in stats.correlation_matrix(df).collect()}
+
+
+def test_correlation_does_not_hang_on_row_order(spark):
+    rng = np.random.default_rng(3)
+    a = 1e9 + rng.normal(size=5000)
+    rows = [(float(x), float(x + 0.03 * e), float(e)) for x, e in zip(a, rng.normal(size=5000))]
+    missing = [(None, None, float(i)) for i in range(300)]
+    want = np.corrcoef(a - 1e9, np.array([r[1] for r in rows]) - 1e9)[0, 1]
+    for given in (missing + rows, rows + missing):
+        for parts in (1, 5):
+            got = correlations(spark.createDataFrame(given, "a double, b double, c double").coalesce(parts))
+            assert got["a", "b"] == pytest.approx(want, abs=1e-7) and got["a", "a"] == pytest.approx(1.0)
+
+
+def test_correlation_leaves_infinite_values_out(spark):
+    rows = [(1.0, 2.0, 5.0), (2.0, 4.5, 6.0), (3.0, 5.0, 7.5), (math.inf, None, 8.0), (4.0, 9.0, 1.0)]
+    got = correlations(spark.createDataFrame(rows, "a double, b double, c double"))
+    assert got["c", "a"] == pytest.approx(-0.4876, abs=1e-4) and got["b", "a"] == pytest.approx(0.9579, abs=1e-4)
+
+
+def test_months_without_nan(sites):
+    df = sites({**months("i_mid", range(12))}, {**months("i_mid", range(12)), "i_mid_jan": NAN})
+    assert reshape.monthly_totals(df, DEFAULT_ROLES.pollution_columns).first()["total"] == 0.0
+    assert reshape.monthly_means(df, DEFAULT_ROLES.pollution_columns).first()["average"] == 0.0
+
+
+def test_histogram_reports_infinity_apart(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, math.inf, -math.inf, NAN]], "v double")
+    rows = {r["bin"]: r["count"] for r in stats.histogram(df, "v", 3).collect() if r["bin"] is not None}
+    outside = {r["bin_start"]: r["count"] for r in stats.histogram(df, "v", 3).collect() if r["bin"] is None}
+    assert rows == {1: 1, 2: 1, 3: 2} and outside == {math.inf: 1, -math.inf: 1}
 
 
 def test_quality(sites):
@@ -214,10 +250,11 @@ def test_samples(spark):
     other = {r["id"] for r in sampling.sample_rows(df, ["id"], 1500, seed=7).collect()}
     assert other != set(first) and abs(sum(first) / 1500 - 2500) < 200
     assert sampling.sample_rows(df.limit(10), ["id"], 1500).count() == 10
-    assert 800 < sampling.sample_share(df, 1000, seed=1).count() < 1200
-    assert sampling.sample_share(df, 10000).count() == 5000
+    share = sorted(r["id"] for r in sampling.sample_share(df, ["id"], 1000).collect())
+    assert len(share) == 1000 and share == sorted(r["id"] for r in sampling.sample_share(df.repartition(3), ["id"], 1000).collect())
+    assert sampling.sample_share(df, ["id"], 10000).count() == 5000
     with pytest.raises(ValueError):
-        sampling.sample_share(df.limit(0))
+        sampling.sample_share(df.limit(0), ["id"])
     with pytest.raises(ValueError):
         sampling.require_rows(df.limit(0))
     assert [r["id"] for r in sampling.head(df, 3, ["id"]).collect()] == [0, 1, 2]
