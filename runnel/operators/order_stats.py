@@ -16,11 +16,12 @@ table: a derived input is computed once per scan.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runnel.functions.values import quoted
@@ -60,20 +61,60 @@ def doubles(columns: Sequence[str]) -> str:
     return ", ".join(f"cast({quoted(c)} as double)" for c in columns)
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Present values as rows (series, v)."""
-    if len(columns) == 1:
-        long = df.select(F.lit(0).alias("series"), F.col(columns[0]).cast("double").alias("v"))
-    else:
-        long = df.select(F.expr(f"posexplode(array({doubles(columns)}))").alias("series", "v"))
-    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+def _magnitude(v: np.ndarray, parts: int, octaves: int) -> np.ndarray:
+    """Bucket by sign and binary exponent; rises with v, and infinity has buckets of its own.
 
+    An octave has ``parts`` buckets, or a bucket ``octaves`` octaves.
+    """
+    finite = np.isfinite(v)
+    mantissa, exponent = np.frexp(np.abs(np.where(finite, v, 1.0)))
+    size = (exponent.astype(np.int64) + 1100) * parts // octaves
+    if parts > 1:
+        size += ((mantissa * 2 - 1) * parts).astype(np.int64)
+    size = np.where(finite, size, 2300 * parts)
+    return np.where(v == 0, 0, np.where(v < 0, -size - 1, size + 1))
+
+
+def _tally(owner: np.ndarray, bucket: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows of equal owner and bucket as one: their count, lowest and highest value."""
+    order = np.lexsort((bucket, owner))
+    owner, bucket = owner[order], bucket[order]
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1])])[: len(owner)])
+    if not len(new):
+        return owner, bucket, n, low, high
+    return owner[new], bucket[new], np.add.reduceat(n[order], new), np.minimum.reduceat(low[order], new), np.maximum.reduceat(high[order], new)
+
+
+def _counted(df: DataFrame, columns: Sequence[str], place: Callable[[int, np.ndarray], Iterable[tuple[int, np.ndarray, np.ndarray]]]) -> DataFrame:
+    """Histogram of the present values, one scan without a row per value.
+
+    ``place`` gets a column's number and values and yields (owner, buckets, values). Each
+    task sends one row per owner and bucket.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+
+        def merged() -> tuple[np.ndarray, ...]:
+            return _tally(*(np.concatenate(x) for x in zip(*held)))
+
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                v = column.drop_null().to_numpy(zero_copy_only=False) + 0.0
+                for owner, buckets, values in place(i, v[~np.isnan(v)]):
+                    if len(values):
+                        held.append(_tally(np.full(len(values), owner, np.int64), buckets, np.ones(len(values), np.int64), values, values))
+                        rows += len(held[-1][0])
+            if rows > 1 << 20:
+                held = [merged()]
+                rows = len(held[0][0]) // 2
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["owner", "bucket", "n", "low", "high"])
 
-def _magnitude(v: Column, parts: float) -> Column:
-    """Bucket by sign and binary exponent, ``parts`` buckets per octave (also under 1); rises with v."""
-    exponent = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * float(parts))
-    above_all = math.ceil(1100 * parts) + 1
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * (exponent + above_all)).cast("long")
+    table = df.selectExpr(*[f"cast({quoted(c)} as double) as c{i}" for i, c in enumerate(columns)])
+    tallies = table.mapInArrow(run, "owner long, bucket long, n long, low double, high double")
+    return tallies.groupBy("owner", "bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _histogram(counted: DataFrame) -> dict[str, np.ndarray]:
@@ -109,36 +150,28 @@ def number_sql(x: float | None) -> str:
     return f"{x!r}D" if math.isfinite(x) else f"double('{x!r}')"
 
 
-def _list_sql(values: Iterable[float | int], index: str) -> str:
-    """Element of a constant list, as SQL text."""
-    texts = [number_sql(v) if isinstance(v, float) else str(v) for v in values]
-    return f"get(array({', '.join(texts)}), {index})"
-
-
 def _bracketed(df: DataFrame, columns: Sequence[str], brackets: list[_Bracket], parts: int | None) -> DataFrame:
-    """Rows (owner, bucket, v) of the values inside brackets; no parts: v is its own bucket.
+    """Histogram of the values inside brackets; without parts every value is its own bucket.
 
-    The brackets of a column do not overlap, so a value has at most one owner.
+    The brackets of a column do not overlap. Only columns with a bracket are read.
     """
-    per_column = [[(i, b) for i, b in enumerate(brackets) if b.column == s] for s in range(len(columns))]
-    if len(columns) == 1:
+    used = sorted({b.column for b in brackets})
+    own = [[(i, b) for i, b in enumerate(brackets) if b.column == c] for c in used]
+    if len(used) == 1:
         # A filter on the column itself is one that storage can use.
-        v = doubles(columns)
-        tests = [f"{v} between {number_sql(b.low)} and {number_sql(b.high)}" for b in brackets]
-        df = df.where(" or ".join(tests))
-    cases = []
-    none = _Bracket(-1, math.inf, -math.inf, 0, 0, [])
-    for slot in range(max(map(len, per_column))):
-        chosen = [own[slot] if slot < len(own) else (-1, none) for own in per_column]
-        low = _list_sql([b.low for _, b in chosen], "series")
-        high = _list_sql([b.high for _, b in chosen], "series")
-        cases.append(f"when v >= {low} and v <= {high} then {_list_sql([i for i, _ in chosen], 'series')}")
-    owned = _long(df, columns).selectExpr("v", f"case {' '.join(cases)} end as owner").where("owner >= 0")
-    if parts is None:
-        return owned
-    low = _list_sql([b.low for b in brackets], "owner")
-    width = _list_sql([b.high - b.low for b in brackets], "owner")
-    return owned.selectExpr("owner", f"cast(least(floor((v - {low}) / {width} * {parts}), {parts - 1}) as int) as bucket", "v")
+        v = doubles([columns[used[0]]])
+        df = df.where(" or ".join(f"{v} between {number_sql(b.low)} and {number_sql(b.high)}" for b in brackets))
+
+    def place(position: int, v: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for i, b in own[position]:
+            inside = v[(v >= b.low) & (v <= b.high)]
+            if parts is None:
+                yield i, inside.view(np.int64), inside
+            else:
+                share = (inside - b.low) / (b.high - b.low)
+                yield i, np.minimum(np.floor(share * parts), parts - 1).astype(np.int64), inside
+
+    return _counted(df, [columns[c] for c in used], place)
 
 
 def order_statistics(
@@ -161,14 +194,11 @@ def order_statistics(
             out |= order_statistics(df, columns[at : at + group], ranks, budget)
         return out
     results = {c: ColumnRanks() for c in columns}
-    # A column has at most 2 * (exponents * parts + 2) + 1 buckets.
-    parts = min(16.0, (budget / len(columns) - 5) / (2 * _EXPONENTS))
-    tally = [F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
-    rows = _histogram(
-        _long(df, columns)
-        .groupBy(F.col("series").alias("owner"), _magnitude(F.col("v"), parts).alias("bucket"))
-        .agg(*tally)
-    )
+    # A column has at most 2 * (exponents * parts / octaves + 2) + 1 buckets.
+    share = budget // len(columns) - 5
+    parts = max(1, min(16, share // (2 * _EXPONENTS)))
+    octaves = max(1, -(-2 * _EXPONENTS // share))
+    rows = _histogram(_counted(df, columns, lambda i, v: [(i, _magnitude(v, parts, octaves), v)]))
     brackets: list[_Bracket] = []
     for series, name in enumerate(columns):
         out = results[name]
@@ -179,11 +209,9 @@ def order_statistics(
     while brackets:
         if sum(b.count for b in brackets) <= budget:
             parts = None
-            keys = ["owner", "v"]
         else:
             parts = max(2, budget // len(brackets))
-            keys = ["owner", "bucket"]
-        rows = _histogram(_bracketed(df, columns, brackets, parts).groupBy(*keys).agg(*tally))
+        rows = _histogram(_bracketed(df, columns, brackets, parts))
         found = np.bincount(rows["owner"], weights=rows["n"], minlength=len(brackets))
         if [b.count for b in brackets] != found.tolist():
             raise ValueError("the input changed between scans; pass a stored or staged table")

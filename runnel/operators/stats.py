@@ -6,13 +6,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runnel.functions.values import min_max_scaled, nan_to_null, nan_to_null_column, quoted
-from runnel.operators.order_stats import HISTOGRAM_ROWS, doubles, quantiles
-from runnel.operators.reshape import months_long
+from runnel.operators.order_stats import HISTOGRAM_ROWS, quantiles
 from runnel.schema import MONTHS
 
 
@@ -33,6 +32,54 @@ def _literal_rows(spark, names: Sequence[str], rows: dict[str, list[float | None
     return spark.createDataFrame([(k, *v) for k, v in rows.items()], schema)
 
 
+def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(position, count, mean, std, min, max) of the present values of every column, in one scan.
+
+    Each task sends one row per column with its own mean and squared deviations;
+    these are merged around the mean of all tasks, so large offsets do not cancel.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(columns)
+        n, mean, squares, low, high = np.zeros(k), np.zeros(k), np.zeros(k), np.full(k, np.inf), np.full(k, -np.inf)
+        rows = 0
+        for batch in batches:
+            rows += len(batch)
+            for i, column in enumerate(batch.columns):
+                v = column.drop_null().to_numpy(zero_copy_only=False)
+                v = v[~np.isnan(v)]
+                if len(v):
+                    own = v.mean()
+                    total, apart = n[i] + len(v), own - mean[i]
+                    squares[i] += ((v - own) ** 2).sum() + apart * apart * n[i] * len(v) / total
+                    mean[i] += apart * len(v) / total
+                    n[i] = total
+                    low[i], high[i] = min(low[i], v.min()), max(high[i], v.max())
+        if rows:
+            none = n == 0
+            arrays = [pa.array(np.arange(k)), pa.array(n.astype(np.int64)), pa.array(mean), pa.array(squares), pa.array(low, mask=none), pa.array(high, mask=none)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["position", "n", "mean", "squares", "low", "high"])
+
+    table = df.selectExpr(*[f"cast({quoted(c)} as double) as c{i}" for i, c in enumerate(columns)])
+    tasks = table.mapInArrow(run, "position long, n long, mean double, squares double, low double, high double")
+    # A column has as many rows here as there are tasks.
+    whole = Window.partitionBy("position")
+    centre = F.try_divide(F.sum(F.col("n") * F.col("mean")).over(whole), F.sum("n").over(whole))
+    merged = (
+        tasks.withColumn("centre", centre)
+        .groupBy("position")
+        .agg(
+            F.sum("n").alias("count"),
+            F.first("centre").alias("mean"),
+            F.sum(F.col("squares") + F.col("n") * (F.col("mean") - F.col("centre")) ** 2).alias("squares"),
+            F.min("low").alias("min"),
+            F.max("high").alias("max"),
+        )
+    )
+    std = F.sqrt(F.try_divide("squares", F.nullif(F.col("count") - 1, F.lit(0))))
+    return merged.select(F.col("position").cast("int").alias("position"), "count", "mean", std.alias("std"), "min", "max")
+
+
 def numeric_summary(
     df: DataFrame, columns: Sequence[str] | None = None, budget: int = HISTOGRAM_ROWS
 ) -> DataFrame:
@@ -41,15 +88,7 @@ def numeric_summary(
     Pass a stored table: the quartiles are exact and take a few scans.
     """
     columns = list(columns or numeric_columns(df))
-    long = df.select(F.expr(f"posexplode(array({doubles(columns)}))").alias("position", "v"))
-    present = nan_to_null("v")
-    moments = long.groupBy("position").agg(
-        F.count(present).alias("count"),
-        F.avg(present).alias("mean"),
-        F.stddev_samp(present).alias("std"),
-        F.min(present).alias("min"),
-        F.max(present).alias("max"),
-    )
+    moments = _moments(df, columns)
     quartiles = quantiles(df, columns, (0.25, 0.5, 0.75), budget)
     named = moments.withColumn("column", _by_name(columns, "position"))
     at = _literal_rows(df.sparkSession, ["p25", "p50", "p75"], quartiles, "column")
@@ -71,19 +110,13 @@ def month_distribution(
     quartiles = quantiles(df, columns, (0.25, 0.5, 0.75), budget)
     rows = {m: quartiles[c] for m, c in zip(labels, columns, strict=True)}
     at = _literal_rows(df.sparkSession, ["p25", "p50", "p75"], rows, "month")
-    v = nan_to_null("v")
     spread = F.col("p75") - F.col("p25")
-    return (
-        months_long(df, [], columns, labels, value="v")
-        .groupBy("month")
-        .agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
-        .join(F.broadcast(at), "month")
-        .select(
-            "*",
-            (F.col("p25") - 1.5 * spread).alias("lower_fence"),
-            (F.col("p75") + 1.5 * spread).alias("upper_fence"),
-        )
-    )
+    by_month = _moments(df, columns).withColumn("month", _by_name(labels, "position"))
+    return by_month.join(F.broadcast(at), "month").select(
+        "month", "count", "mean", "min", "max", "p25", "p50", "p75",
+        (F.col("p25") - 1.5 * spread).alias("lower_fence"),
+        (F.col("p75") + 1.5 * spread).alias("upper_fence"),
+    )
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:

@@ -51,7 +51,6 @@ def test_no_operator_uses_python_or_a_nested_loop(stored):
         "hotspots": hotspots.hotspots(stored),
         "severity": severity.severity_report(severity.severity_features(stored)),
         "correlation": correlation.correlation_report(correlation.site_correlations(stored)),
-        "summary": stats.numeric_summary(stored),
         "surface": stats.trend_surface(stored),
         "histogram": stats.histogram(stored, "i_high"),
         "months": panels.top_sites_by_month(stored),
@@ -65,6 +64,18 @@ def test_no_operator_uses_python_or_a_nested_loop(stored):
             assert word not in text, name
 
 
+def test_summary_scans_once_for_its_moments(stored):
+    # The Arrow kernel of the moments; no row per value.
+    text = plan(stats.numeric_summary(stored))
+    assert text.count("MapInArrow") == 1 and "Generate" not in text and "Python" not in text
+
+
+def test_hotspot_samples_rank_points_of_hot_cells_only(stored):
+    text = plan(hotspots.hotspots(stored))
+    window = text.index("Window")
+    assert "LeftSemi" in text[window:] and "hint" not in text.lower()
+
+
 def test_top_k_does_not_sort_the_table(stored):
     assert "TakeOrderedAndProject" in plan(panels.top_sites(stored))
     assert plan(readings.latest_readings(stored, "X", ["Y"])).count("WindowGroupLimit") == 2
