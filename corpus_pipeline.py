@@ -14,13 +14,13 @@ from runnel.llm import decontamination, language, packing, partenum, substrings
 from runnel.sources.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Least share of a document's letters in its main language.
-MAIN_LANGUAGE = 0.5
+#: Least share of a document's letters in its main language; texts of two languages stay.
+MAIN_LANGUAGE = 0.34
 VOCABULARY = "word_bpe_49k.json"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a main language; those without letters, null ones included, and even mixtures go.
+    """Documents with a main language; those without letters, null ones included, and those without a main language go.
 
     Learned from the labelled documents outside the held-out fold. Rows with
     a null doc_id are judged like others.
