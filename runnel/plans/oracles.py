@@ -469,6 +469,20 @@ FROM placed""",
         "first_sites": _on_site(f'SELECT {coordinates}, i_mid FROM site ORDER BY "X", "Y", site_id LIMIT 20'),
         "sites_by_name_file": _by_name_file(),
         "sites_positional_file": _file_round_trip(),
+        "sites_unlike_files": _on_site('SELECT site_id, "X", "Y", i_mid, area, mpw FROM site'),
+        "monthly_totals_file": _months(
+            "sum({c})", lambda m: "CASE WHEN site_id % 11 <> 1 THEN i_mid_jan END" if m == "jan" else f"i_mid_{m}", 5, "total"
+        ),
+        "report_faulty_lines": _on_site(
+            """SELECT 'point' AS kind, 'g' || site_id AS name, "Y" AS latitude, "X" AS longitude FROM site WHERE site_id % 4 >= 2
+UNION ALL SELECT 'point', 'g' || site_id, "X", "Y" FROM site WHERE site_id % 4 = 2
+UNION ALL SELECT ['no tab', 'bad json', '', 'bad coordinate'][site_id % 4 + 1], 'g' || site_id, NULL, NULL FROM site
+  WHERE site_id % 4 <> 2"""
+        ),
+        "report_extension": _on_site(
+            """SELECT CASE WHEN "X" > 0 THEN 'true' ELSE 'false' END AS side, round(sum(mpw), 4) AS weight, count(*) AS n,
+  CAST(CASE WHEN "X" > 0 THEN 2 ELSE 1 END AS INTEGER) AS line FROM site GROUP BY 1, 4"""
+        ),
         "numeric_repair": _on_site(
             f"""SELECT site_id, {_comma("i_mid_jan")} AS i_mid_jan, CASE WHEN site_id % 3 <> 0 THEN i_mid END AS i_mid,
   greatest(0.0, least(5000.0, {_comma("i_mid_jan")})) AS scaled FROM site"""

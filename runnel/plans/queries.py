@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runnel.functions.text import fixed, month_label, month_title, site_key
@@ -424,6 +424,27 @@ def sites_positional_file(spark: SparkSession, d: str) -> DataFrame:
     return seasonal.seasonal_stats(back)
 
 
+@query
+def sites_unlike_files(spark: SparkSession, d: str) -> DataFrame:
+    """Sites in two folders whose columns stand in opposite orders, read back by name."""
+    folder = staging_path(spark, "sites-unlike")
+    named = tables.sites(spark, d)
+    for part, columns in enumerate((named.columns, named.columns[::-1])):
+        named.where(F.col("site_id") % 2 == part).select(*columns).write.option("header", True).csv(f"{folder}/{part}")
+    back = site_files.read_sites(spark, [f"{folder}/0", f"{folder}/1"])
+    return back.select(F.col("site_id").cast("bigint").alias("site_id"), "X", "Y", "i_mid", "area", "mpw")
+
+
+@query
+def monthly_totals_file(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly totals of a positional file in which some January fields say nan."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SITE_COLUMNS]
+    cells[5] = F.when(F.col("site_id") % 11 == 1, "nan").otherwise(cells[5])
+    path = staging_path(spark, "sites-nan")
+    tables.sites(spark, d).select(F.concat_ws(",", *cells).alias("line")).write.text(path)
+    return rounded(reshape.monthly_totals(site_files.read_sites_positional(spark, path), MID_MONTHS), 5)
+
+
 @query
 def numeric_repair(spark: SparkSession, d: str) -> DataFrame:
     """Comma numbers repaired, and one column coerced."""
@@ -446,6 +467,41 @@ def hotspot_points_file(spark: SparkSession, d: str) -> DataFrame:
     return reports.read_hotspot_points(spark, path)
 
 
+@query
+def report_faulty_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Hotspot lines with faults: the points that are kept, and the rejected lines with their reasons."""
+    k, x, y = F.col("site_id").cast("string"), F.col("X").cast("string"), F.col("Y").cast("string")
+    head = F.concat(F.lit('"HOTSPOT"\t{"grid": "g'), k, F.lit('", "hotspot_score": 1.5, "sample_locations": ["'), x, F.lit(","), y, F.lit('", "'))
+    tail = F.concat(y, F.lit(","), x, F.lit('"]}'))
+    line = (
+        F.when(F.col("site_id") % 4 == 0, F.concat(F.lit('"HOTSPOT" {"grid": "g'), k, F.lit('"}')))
+        .when(F.col("site_id") % 4 == 1, F.concat(F.lit('"HOTSPOT"\t{"grid": "g'), k))
+        .when(F.col("site_id") % 4 == 2, F.concat(head, tail))
+        .otherwise(F.concat(head, F.lit('far,1.0", "'), tail))
+    )
+    found = reports.parse_hotspot_lines(tables.sites(spark, d).select(line.alias("value")))
+    points = found.points.select(F.lit("point").alias("kind"), F.col("grid").alias("name"), "latitude", "longitude")
+    named = F.regexp_extract("line", '"grid": "(g[0-9]+)', 1)
+    rejects = found.rejects.select("reason", named, F.lit(None).cast("double"), F.lit(None).cast("double"))
+    return points.union(rejects)
+
+
+@query
+def report_extension(spark: SparkSession, d: str) -> DataFrame:
+    """A report with an analysis of its own, which reads a column that no other does."""
+    weights = report.Analysis(
+        lambda df, roles: df.groupBy((F.col("X") > 0).cast("string").alias("side")).agg(F.round(F.sum("mpw"), 4).alias("weight"), F.count("*").alias("n")),
+        F.col("side"), ["side"], ("side",), ("mpw",),
+    )
+    outcomes = report.run_report(tables.sites(spark, d), staging_path(spark, "extended-report"), registry=report.analyses() | {"weights": weights})
+    path = next(o.path for o in outcomes if o.name == "weights")
+    lines = spark.read.text(path).select(F.split("value", "\t").alias("p"), F.monotonically_increasing_id().alias("place"))
+    fields = F.from_json(F.col("p")[1], "weight double, n bigint")
+    return lines.select(F.trim(F.col("p")[0], F.lit('"')).alias("side"), fields.alias("j"), "place").select(
+        "side", "j.weight", "j.n", F.row_number().over(Window.orderBy("place")).alias("line")
+    )
+
+
 @query
 def batch_report(spark: SparkSession, d: str) -> DataFrame:
     """All four reports written; key and leading count of every line read back."""
