@@ -44,10 +44,9 @@ def remove_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document of which no word is left goes.
     """
-    cut = substrings.remove_repeats(docs.withColumn("before", F.col("text")), carry=["before", "lang", "source"])
-    text = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("before"))
+    cut = substrings.remove_repeats(docs, carry=["lang", "source"], as_is=True)
     kept = cut.where((F.col("n_removed") == 0) | (F.col("n_words") > F.col("n_removed")))
-    return kept.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,10 +114,13 @@ def contamination(
     items = benchmark.select(F.col(item_key).cast("string").alias("item"), F.col(item_text).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // AUTOMATON_BYTES))
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *[c for c in carry if c != text]).alias("carry"))
     word_span = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "start", "end")])
     result = T.StructType().add("id", rows.schema["id"].dataType).add("row", T.LongType()).add("n_words", T.LongType())
     result = result.add("items", T.ArrayType(T.StringType())).add("spans", T.ArrayType(word_span)).add("carry", rows.schema["carry"].dataType)
+    with_text = text in carry  # sent once
+    if with_text:
+        result = result.add("text", T.StringType())
     if groups > 1:
         rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "documents")
     else:
@@ -144,10 +147,9 @@ def contamination(
                                 s[side] = int(np.count_nonzero((before & 0xC0) != 0x80))
                         spans.append(found)
                         held.append(sorted(names))
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column("id"), piece.column("row"), pa.array(np.diff(words.first)), pa.array(held, pa.list_(pa.string())), pa.array(spans, span), piece.column("carry")],
-                        names=["id", "row", "n_words", "items", "spans", "carry"],
-                    )
+                    out = [piece.column("id"), piece.column("row"), pa.array(np.diff(words.first)), pa.array(held, pa.list_(pa.string())), pa.array(spans, span)]
+                    out += [piece.column("carry"), piece.column("text")]
+                    yield pa.RecordBatch.from_arrays(out[: len(result)], names=result.names)
 
         return rows.mapInArrow(run, result)
 
@@ -162,8 +164,8 @@ def contamination(
 
         found = (
             found.groupBy("row")
-            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("carry").alias("carry"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("carry").alias("carry"), *[F.first("text").alias("text")] * with_text, F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
             .withColumn("spans", joined("spans"))
         )
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return found.select(F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), "items", "spans", *[F.col("carry")[c].alias(c) for c in carry])
+    return found.select(F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), "items", "spans", *[F.col("text").alias(c) if c == text else F.col("carry")[c].alias(c) for c in carry])

@@ -36,6 +36,8 @@ _OF_GAP = np.array([0, *(x for name, _, _ in SCRIPTS for x in (_NAMES.index(name
 
 #: Buckets of hashed trigrams.
 FEATURES = 1 << 15
+#: Bytes of text labelled at once; each takes some 60 bytes of memory.
+SLICE = 1 << 21
 #: Words in one path; a longer text is labelled in parts of so many words.
 PATH = 4096
 UNDETERMINED = "und"
@@ -216,17 +218,20 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     language with its share as score. Rows with equal or null keys are judged one by one.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *[c for c in carry if c != text]).alias("carry"))
     span = T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("lang", T.StringType())
     result = T.StructType().add("id", rows.schema["id"].dataType).add("lang_pred", T.StringType()).add("score", T.DoubleType())
     result = result.add("spans", T.ArrayType(span)).add("carry", rows.schema["carry"].dataType)
+    with_text = text in carry  # sent once
+    if with_text:
+        result = result.add("text", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         k = len(model.languages)
         names = np.array([*model.languages, UNDETERMINED], object)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 texts = part.column("text")
                 features, starts, ends, letters, script, first = _words(texts)
                 documents = np.repeat(np.arange(len(part)), np.diff(first))
@@ -258,10 +263,11 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                         names=["start", "end", "lang"],
                     ),
                 )
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names[choice], pa.string()), pa.array(score, pa.float64()), spans, part.column("carry")], names=["id", "lang_pred", "score", "spans", "carry"])
+                out = [part.column("id"), pa.array(names[choice], pa.string()), pa.array(score, pa.float64()), spans, part.column("carry"), texts]
+                yield pa.RecordBatch.from_arrays(out[: len(result)], names=result.names)
 
     out = rows.mapInArrow(run, result)
-    return out.select(F.col("id").alias(key), "lang_pred", "score", "spans", *[F.col("carry")[c].alias(c) for c in carry])
+    return out.select(F.col("id").alias(key), "lang_pred", "score", "spans", *[F.col("text").alias(c) if c == text else F.col("carry")[c].alias(c) for c in carry])
 
 
 def held_out(key: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

@@ -18,6 +18,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,9 +109,10 @@ def kept_text(words: Words, offsets: np.ndarray, keep: np.ndarray) -> pa.Array:
 
 
 def remove_repeats(
-    docs: DataFrame, window: int = 50, gram: int = 10, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), partitions: int | None = None
+    docs: DataFrame, window: int = 50, gram: int = 10, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), as_is: bool = False, partitions: int | None = None
 ) -> DataFrame:
-    """(key, n_words, n_removed, text, carried columns) of every row; text is the kept words joined by one space.
+    """(key, n_words, n_removed, text, carried columns) of every row; text is the kept words joined by one space;
+    with ``as_is``, texts that lose no word come back unchanged (null ones too).
 
     A word goes if it is in a window whose word sequence also starts in a
     document with a smaller key; windows are judged on the input. Words are
@@ -161,9 +163,11 @@ def remove_repeats(
                 np.subtract.at(depth, starts + window, 1)
                 keep = np.cumsum(depth[:-1]) == 0
                 removed = np.concatenate([[0], np.cumsum(~keep)])[words.first]
-                texts = kept_text(words, buffers(part.column("text"))[1], keep)
+                texts = kept_text(words, buffers(part.column("text"))[1], keep).cast(pa.string())
+                if as_is:
+                    texts = pc.if_else(pa.array(np.diff(removed) == 0), part.column("text"), texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(np.diff(words.first)), pa.array(np.diff(removed)), texts.cast(pa.string()), part.column("carry")],
+                    [part.column("id"), pa.array(np.diff(words.first)), pa.array(np.diff(removed)), texts, part.column("carry")],
                     names=["id", "n_words", "n_removed", "text", "carry"],
                 )
 

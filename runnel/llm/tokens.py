@@ -36,7 +36,7 @@ from runnel.sources.staging import stage
 #: Longer than any special token's string or contraction: what follows further away changes no pre-token.
 MARGIN = 32
 #: Pieces remembered from batch to batch by a task.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = r"!-&(-/:-@\[-`{-~"
 
