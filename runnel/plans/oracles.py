@@ -4,10 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from runnel.schema import MONTH_NAMES, MONTHS, POSITIONAL, SITE_COLUMNS, SITE_SCHEMA
+from runnel.schema import MONTH_NAMES, MONTHS, SITE_COLUMNS
 
 MID = [f"i_mid_{m}" for m in MONTHS]
 RUNOFF = [f"runoff_{m}" for m in MONTHS]
+# The columns at file positions 4, 7, ..., 37 and 40, 41, ..., 51.
+POSITIONAL_MID = [
+    "i_high", "i_high_jan", "i_high_feb", "i_high_mar", "i_high_apr", "i_high_may", "i_high_jun", "i_high_jul", "i_high_aug", "i_high_sep", "i_high_oct", "i_high_nov",
+]
+POSITIONAL_RUNOFF = [
+    "i_high_dec", "runoff_jan", "runoff_feb", "runoff_mar", "runoff_apr", "runoff_may", "runoff_jun", "runoff_jul", "runoff_aug", "runoff_sep", "runoff_oct", "runoff_nov",
+]
+# The column dictionary, and the part of it that repeats every month.
+DICTIONARY = [
+    ("X", "longitude", "decimal degrees"),
+    ("Y", "latitude", "decimal degrees"),
+    ("i_mid", "mid estimate of the microplastic concentration", "particles/km2"),
+    ("i_low", "low estimate of the microplastic concentration", "particles/km2"),
+    ("i_high", "high estimate of the microplastic concentration", "particles/km2"),
+]
+DICTIONARY_OF_MONTH = [
+    ("i_mid_", "mid estimate of the microplastic concentration in ", "particles/km2"),
+    ("i_low_", "low estimate of the microplastic concentration in ", "particles/km2"),
+    ("i_high_", "high estimate of the microplastic concentration in ", "particles/km2"),
+]
+MONTH_TITLES = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 
 
@@ -229,10 +250,12 @@ def _missing(columns: Sequence[str]) -> str:
 
 
 def _described() -> str:
-    rows = ", ".join(
-        f"({i}, '{f.name}', 'double', '{f.metadata['comment']}', '{f.metadata['unit']}')"
-        for i, f in enumerate(SITE_SCHEMA.fields)
-    )
+    entries = list(DICTIONARY)
+    for title in MONTH_TITLES:
+        entries += [(name + title[:3].lower(), meaning + title, unit) for name, meaning, unit in DICTIONARY_OF_MONTH]
+    entries += [("runoff_" + title[:3].lower(), "water runoff in " + title, "m3/s") for title in MONTH_TITLES]
+    entries += [("mpw", "microplastic weight", "kg"), ("area", "area the site covers", "m2")]
+    rows = ", ".join(f"({i}, '{name}', 'double', '{meaning}', '{unit}')" for i, (name, meaning, unit) in enumerate(entries))
     return _on_site(
         """SELECT d."column", CAST(position AS INTEGER) AS position, type, meaning, unit, missing
 FROM (VALUES """
@@ -307,11 +330,11 @@ UNION ALL SELECT 'correlation_analysis', CASE WHEN abs(correlation) >= 0.7 THEN
 
 def oracle_sql() -> dict[str, str]:
     by_name = list(zip(MID, RUNOFF))
-    positional = [(m.pollution, m.runoff) for m in POSITIONAL]
+    positional = list(zip(POSITIONAL_MID, POSITIONAL_RUNOFF))
     coordinates = 'site_id, "X", "Y"'
     return {
         "seasonal_stats": _on_site(_seasonal(MID)),
-        "seasonal_stats_positional": _on_site(_seasonal([m.pollution for m in POSITIONAL])),
+        "seasonal_stats_positional": _on_site(_seasonal(POSITIONAL_MID)),
         "seasonal_variance": _on_site(f"SELECT site_id, round({_variance()}, 6) AS variance FROM site"),
         "monthly_totals": _months("sum({c})", lambda m: f"i_mid_{m}", 5, "total"),
         "monthly_mean_runoff": _months("avg({c})", lambda m: f"runoff_{m}", 6, "average"),
