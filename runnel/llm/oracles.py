@@ -48,6 +48,38 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(sum(backed_off), 0)::BIGI
 FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, d.w
 """
 
+OP3_TRIGRAMS = f"""
+WITH d AS (SELECT doc_id, {_words("text", _SPACED, True)} AS w FROM documents),
+  t AS (SELECT doc_id, i, w[i] AS x, CASE WHEN i > 1 THEN w[i - 1] END AS u, CASE WHEN i > 2 THEN w[i - 2] END AS v FROM d, unnest(range(1, len(w) + 1)) AS r(i)),
+  c1 AS (SELECT x, count(*) AS n FROM t GROUP BY x),
+  c2 AS (SELECT u, x, count(*) AS n FROM t WHERE i > 1 GROUP BY u, x),
+  c3 AS (SELECT v, u, x, count(*) AS n FROM t WHERE i > 2 GROUP BY v, u, x),
+  d1 AS (SELECT doc_id, x, count(*) AS n FROM t GROUP BY doc_id, x),
+  d2 AS (SELECT doc_id, u, x, count(*) AS n FROM t WHERE i > 1 GROUP BY doc_id, u, x),
+  d3 AS (SELECT doc_id, v, u, x, count(*) AS n FROM t WHERE i > 2 GROUP BY doc_id, v, u, x),
+  total AS (SELECT count(*) AS n FROM t),
+  others AS (
+    SELECT t.doc_id, t.i, total.n - len(d.w) AS rest, c1.n - d1.n AS one, cu.n - du.n AS before_one,
+      coalesce(c2.n - d2.n, 0) AS two, cvu.n - dvu.n AS before_two, coalesce(c3.n - d3.n, 0) AS three
+    FROM t JOIN d USING (doc_id) CROSS JOIN total
+      JOIN c1 ON c1.x = t.x JOIN d1 ON d1.doc_id = t.doc_id AND d1.x = t.x
+      LEFT JOIN c1 AS cu ON cu.x = t.u LEFT JOIN d1 AS du ON du.doc_id = t.doc_id AND du.x = t.u
+      LEFT JOIN c2 ON c2.u = t.u AND c2.x = t.x LEFT JOIN d2 ON d2.doc_id = t.doc_id AND d2.u = t.u AND d2.x = t.x
+      LEFT JOIN c2 AS cvu ON cvu.u = t.v AND cvu.x = t.u LEFT JOIN d2 AS dvu ON dvu.doc_id = t.doc_id AND dvu.u = t.v AND dvu.x = t.u
+      LEFT JOIN c3 ON c3.v = t.v AND c3.u = t.u AND c3.x = t.x LEFT JOIN d3 ON d3.doc_id = t.doc_id AND d3.v = t.v AND d3.u = t.u AND d3.x = t.x),
+  s AS (
+    SELECT doc_id,
+      CASE WHEN three > 0 THEN ln(three) - ln(before_two)
+        WHEN two > 0 THEN ln(two) - ln(before_one) + (least(i, 3) - 2) * ln(0.4)
+        WHEN one > 0 THEN ln(one) - ln(rest) + (least(i, 3) - 1) * ln(0.4)
+        ELSE -ln(rest + 1) + least(i, 3) * ln(0.4) END AS score,
+      CASE WHEN three > 0 OR (i = 2 AND two > 0) OR (i = 1 AND one > 0) THEN 0 ELSE 1 END AS backed_off
+    FROM others)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(sum(backed_off), 0)::BIGINT AS n_backed_off, round(coalesce(sum(score), 0.0), 4) AS log_score,
+  round(sum(score) / len(d.w), 6) AS per_word
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, d.w
+"""
+
 OP4 = f"""
 WITH d AS (SELECT doc_id, {_words("text", _SPACED, False)} AS w FROM documents),
   windows AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS s FROM d, unnest(range(1, len(w) - 48)) AS r(i)),
@@ -105,3 +137,6 @@ SQL = {
     "op6_decontamination": OP6,
     "op9_jaccard_join": OP9,
 }
+
+#: Of the queries that stand beside those of each operator.
+FURTHER_SQL = {"op3_trigram_scores": OP3_TRIGRAMS}

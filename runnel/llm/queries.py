@@ -11,6 +11,7 @@ from runnel.llm import decontamination, language, lattice, oracles, packing, pag
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
+_further: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
@@ -18,14 +19,28 @@ def query(function: Query) -> Query:
     return function
 
 
+def further_query(function: Query) -> Query:
+    _further[function.__name__] = function
+    return function
+
+
 def registered() -> dict[str, Query]:
     return dict(_registry)
 
 
+def further() -> dict[str, Query]:
+    """Queries beside those of each operator: the same operator with other parameters."""
+    return dict(_further)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(oracles.SQL)
 
 
+def further_sql() -> dict[str, str]:
+    return dict(oracles.FURTHER_SQL)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,10 +69,18 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rounded(scores: DataFrame) -> DataFrame:
+    return scores.select("doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"), F.round(F.col("log_score") / F.col("n_words"), 6).alias("per_word"))
+
+
 @query
 def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = scoring.backoff_scores(table(spark, sf_dir, "documents"))
-    return scores.select("doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"), F.round(F.col("log_score") / F.col("n_words"), 6).alias("per_word"))
+    return _rounded(scoring.backoff_scores(table(spark, sf_dir, "documents")))
+
+
+@further_query
+def op3_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(scoring.backoff_scores(table(spark, sf_dir, "documents"), order=3))
 
 
 @query
