@@ -53,7 +53,7 @@ _SPACE = re.compile(r"\s+")
 PATH_FEATURES = 96
 WORD_FEATURES = 64
 FEATURES = PATH_FEATURES + WORD_FEATURES + 4
-#: Blocks in one sequence; a longer page is read in parts of so many.
+#: Blocks read at once; a longer page is read in parts of so many that hand on their states.
 SEQUENCE = 2048
 
 #: Blocks of a training page.
@@ -218,11 +218,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _steps(x: np.ndarray, recurrent: np.ndarray, mask: np.ndarray, backward: bool, keep: list | None = None) -> np.ndarray:
-    """Hidden states of one direction; x is (time, batch, 4 * hidden), mask (time, batch)."""
+def _steps(x: np.ndarray, recurrent: np.ndarray, mask: np.ndarray, backward: bool, keep: list | None = None, carried: np.ndarray | None = None) -> np.ndarray:
+    """Hidden states of one direction; x is (time, batch, 4 * hidden), mask (time, batch).
+
+    ``carried`` (2, batch, hidden) holds state and cell to begin with, zeros without it, and takes the last ones.
+    """
     time, batch, four = x.shape
     h = four // 4
-    state, cell = np.zeros((batch, h), np.float32), np.zeros((batch, h), np.float32)
+    state, cell = np.zeros((2, batch, h), np.float32) if carried is None else carried.copy()
     out = np.zeros((time, batch, h), np.float32)
     for t in reversed(range(time)) if backward else range(time):
         gates = x[t] + state @ recurrent
@@ -236,21 +239,37 @@ def _steps(x: np.ndarray, recurrent: np.ndarray, mask: np.ndarray, backward: boo
         out[t] = state
         if keep is not None:
             keep.append((t, take, forget, give, new, before, before_cell, squashed, live))
+    if carried is not None:
+        carried[:] = state, cell
     return out
 
 
 def label(model: Labeller, pages: list[np.ndarray]) -> list[np.ndarray]:
-    """Probability that a block belongs to the article, for the blocks of every page."""
-    out = [np.zeros(len(p), np.float32) for p in pages]
+    """Probability that a block belongs to the article, for the blocks of every page.
+
+    Each direction goes through the parts of a page in its order and takes its
+    state and cell along, so the result is that of one pass, and no more than
+    SEQUENCE blocks of 64 pages are in work.
+    """
+    out = [np.full(len(p), model.output[-1], np.float32) for p in pages]
     order = sorted((i for i, p in enumerate(pages) if len(p)), key=lambda i: len(pages[i]))
+    hidden = len(model.recurrent[0])
     for at in range(0, len(order), 64):
         chosen = order[at : at + 64]
-        x, mask = _padded([pages[i] for i in chosen])
-        states = [_steps(x @ w, r, mask, d == 1) for d, (w, r) in enumerate(zip(model.inputs, model.recurrent))]
-        score = _sigmoid(np.concatenate(states, 2) @ model.output[:-1] + model.output[-1])
-        for column, i in enumerate(chosen):
-            out[i] = score[: len(pages[i]), column]
-    return out
+        lengths = np.array([len(pages[i]) for i in chosen])
+        parts = range(0, lengths[-1], SEQUENCE)
+        for d, (w, r) in enumerate(zip(model.inputs, model.recurrent)):
+            carried = np.zeros((2, len(chosen), hidden), np.float32)
+            for begin in reversed(parts) if d else parts:
+                # Pages are sorted by length: those that reach this part are the last ones.
+                reach = int(np.searchsorted(lengths, begin, "right"))
+                x, mask = _padded([pages[i][begin : begin + SEQUENCE] for i in chosen[reach:]])
+                states = _steps(x @ w, r, mask, d == 1, carried=carried[:, reach:])
+                score = states @ model.output[d * hidden : (d + 1) * hidden]
+                for column, i in enumerate(chosen[reach:]):
+                    own = out[i][begin : begin + SEQUENCE]
+                    own += score[: len(own), column]
+    return [_sigmoid(score) for score in out]
 
 
 def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -369,7 +388,7 @@ def main_text(pages: DataFrame, model: Labeller, key: str = "page_id", html: str
 
     Null and empty pages, and pages without an article block, have an empty
     text. Rows with equal or null keys are read one by one. An empty table
-    gives an empty result. Pages of more than SEQUENCE blocks are labelled in parts.
+    gives an empty result. Every block is labelled in the context of its whole page.
     """
     sent = pages.sparkSession.sparkContext.broadcast(model)
     rows = pages.select(F.col(key).alias("id"), F.col(html).alias("html"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
@@ -380,13 +399,9 @@ def main_text(pages: DataFrame, model: Labeller, key: str = "page_id", html: str
         for batch in batches:
             for part in slices(batch, "html", 1 << 21):
                 found = [blocks(page or "") for page in part.column("html").to_pylist()]
-                parts = [(i, at) for i, page in enumerate(found) for at in range(0, len(page), SEQUENCE)]
                 features = vectors([b for page in found for b in page])
-                first = np.concatenate([[0], np.cumsum([len(page) for page in found])]).astype(int)
-                scores = label(sent.value, [features[first[i] + at : min(first[i] + at + SEQUENCE, first[i + 1])] for i, at in parts])
-                kept: list[list[str]] = [[] for _ in found]
-                for (i, at), score in zip(parts, scores):
-                    kept[i] += [found[i][at + k][1] for k in np.flatnonzero(score >= least)]
+                scores = label(sent.value, np.split(features, np.cumsum([len(page) for page in found])[:-1]))
+                kept = [[page[k][1] for k in np.flatnonzero(score >= least)] for page, score in zip(found, scores)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(["\n\n".join(k) for k in kept], pa.string()), pa.array([len(p) for p in found], pa.int64()), pa.array([len(k) for k in kept], pa.int64()), part.column("carry")],
                     names=["id", "text", "n_blocks", "n_kept", "carry"],
