@@ -56,9 +56,6 @@ FEATURES = PATH_FEATURES + WORD_FEATURES + 4
 #: Blocks read at once; a longer page is read in parts of so many that hand on their states.
 SEQUENCE = 2048
 
-#: Blocks of a training page.
-LEARNED = 120
-
 Path = tuple[str, ...]
 
 
@@ -281,19 +278,52 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def train(pages: list[np.ndarray], labels: list[np.ndarray], hidden: int = 16, rounds: int = 160, batch: int = 24, rate: float = 0.02, seed: int = 8) -> Labeller:
-    """Fit by Adam on the mean cross entropy of the blocks, back through time over whole pages."""
+class _Vectors:
+    """The vectors of a long page, made for the blocks that are read."""
+
+    def __init__(self, found: list[tuple[Path, str, int]]) -> None:
+        self.found = found
+
+    def __len__(self) -> int:
+        return len(self.found)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        return vectors(self.found[part])
+
+
+def window_starts(blocks: int, window: int) -> list[int]:
+    """Starts of the windows that cover a page: the first, the one that ends with the page, then those between."""
+    last = max(0, blocks - window)
+    return [0, last, *range(window, last, window)] if last else [0]
+
+
+def train(
+    pages: Sequence[np.ndarray | _Vectors], labels: list[np.ndarray], hidden: int = 16, rounds: int = 160, batch: int = 24, rate: float = 0.02, seed: int = 8, window: int = 512
+) -> Labeller:
+    """Fit by Adam on the mean cross entropy of the blocks, back through time over whole pages.
+
+    A page of more than ``window`` blocks is read by a window each time it is
+    drawn, in the order of ``window_starts``; about rounds * batch / pages windows of it are read.
+    """
     model = Labeller.fresh(hidden, seed)
     rng = np.random.default_rng(seed)
     weights = model.weights()
     mean = [np.zeros_like(w) for w in weights]
     square = [np.zeros_like(w) for w in weights]
+    drawn = [0] * len(pages)
     for step in range(1, rounds + 1):
         chosen = rng.choice(len(pages), min(batch, len(pages)), replace=False)
-        x, mask = _padded([pages[i] for i in chosen])
+        parts = []
+        for i in chosen:
+            starts = window_starts(len(pages[i]), window)
+            begin = starts[drawn[i] % len(starts)]
+            parts.append(slice(begin, begin + window))
+            drawn[i] += 1
+        x, mask = _padded([pages[i][part] for i, part in zip(chosen, parts)])
         target = np.zeros(mask.shape, np.float32)
-        for column, i in enumerate(chosen):
-            target[: len(labels[i]), column] = labels[i]
+        for column, (i, part) in enumerate(zip(chosen, parts)):
+            own = labels[i][part]
+            target[: len(own), column] = own
         tapes: list[list] = [[], []]
         states = [_steps(x @ w, r, mask, d == 1, tapes[d]) for d, (w, r) in enumerate(zip(model.inputs, model.recurrent))]
         both = np.concatenate(states, 2)
@@ -367,12 +397,17 @@ def made_up(texts: list[str], asides: list[str], rng: np.random.Generator) -> tu
     return found, labels
 
 
-def fit(pages: DataFrame, sample: int = 160, made: int = 320, key: str = "page_id", text: str = "html", longest: int = 300_000, seed: int = 8) -> Labeller:
-    """Train on the ``sample`` pages with the smallest key hashes (of at most ``longest`` characters) and ``made`` made-up ones."""
+def fit(pages: DataFrame, sample: int = 160, made: int = 320, key: str = "page_id", text: str = "html", longest: int = 300_000, seed: int = 8, window: int = 512) -> Labeller:
+    """Train on the ``sample`` pages with the smallest key hashes and ``made`` made-up ones.
+
+    Pages of more than ``longest`` characters are left out of the sample; they
+    would not fit the driver. All blocks of a sampled page count, those of pages
+    of more than ``window`` blocks by windows that cover the page (see ``train``).
+    """
     rows = pages.select(F.col(key).alias("id"), F.col(text).alias("html")).where(F.length("html") <= longest)
     chosen = rows.orderBy(F.xxhash64("id"), F.xxhash64("html")).limit(sample).collect()
     rng = np.random.default_rng(seed)
-    found = [b for b in (blocks(r.html)[:LEARNED] for r in chosen) if b]
+    found = [b for b in (blocks(r.html) for r in chosen) if b]
     labels = [[0 if outside(path) else 1 for path, _, _ in page] for page in found]
     texts = [t for page, own in zip(found, labels) for (_, t, _), y in zip(page, own) if y] or ["text"]
     asides = [t for page, own in zip(found, labels) for (_, t, _), y in zip(page, own) if not y] or ["aside"]
@@ -380,7 +415,8 @@ def fit(pages: DataFrame, sample: int = 160, made: int = 320, key: str = "page_i
         page, own = made_up(texts, asides, rng)
         found.append(page)
         labels.append(own)
-    return train([vectors(page) for page in found], [np.array(own, np.float32) for own in labels], seed=seed)
+    read = [vectors(page) if len(page) <= window else _Vectors(page) for page in found]
+    return train(read, [np.array(own, np.float32) for own in labels], seed=seed, window=window)
 
 
 def main_text(pages: DataFrame, model: Labeller, key: str = "page_id", html: str = "html", carry: Sequence[str] = (), least: float = 0.5) -> DataFrame:
