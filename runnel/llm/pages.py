@@ -397,6 +397,19 @@ def made_up(texts: list[str], asides: list[str], rng: np.random.Generator) -> tu
     return found, labels
 
 
+def sampled(rows: DataFrame, sample: int) -> list[str]:
+    """html of the ``sample`` rows of (id, html) with the smallest hashes; equal rows count one by one.
+
+    Tasks send hashes only to find them; then the driver gets each chosen page once.
+    """
+    hashed = rows.withColumns({"of_id": F.xxhash64("id"), "of_html": F.xxhash64("html")})
+    chosen = [tuple(r) for r in hashed.select("of_id", "of_html").orderBy("of_id", "of_html").limit(sample).collect()]
+    wanted = rows.sparkSession.createDataFrame(sorted(set(chosen)), "of_id long, of_html long")
+    found = hashed.join(F.broadcast(wanted), ["of_id", "of_html"], "left_semi").dropDuplicates(["of_id", "of_html"]).collect()
+    html = {(r.of_id, r.of_html): r.html for r in found}
+    return [html[key] for key in chosen]
+
+
 def fit(pages: DataFrame, sample: int = 160, made: int = 320, key: str = "page_id", text: str = "html", longest: int = 300_000, seed: int = 8, window: int = 512) -> Labeller:
     """Train on the ``sample`` pages with the smallest key hashes and ``made`` made-up ones.
 
@@ -405,9 +418,8 @@ def fit(pages: DataFrame, sample: int = 160, made: int = 320, key: str = "page_i
     of more than ``window`` blocks by windows that cover the page (see ``train``).
     """
     rows = pages.select(F.col(key).alias("id"), F.col(text).alias("html")).where(F.length("html") <= longest)
-    chosen = rows.orderBy(F.xxhash64("id"), F.xxhash64("html")).limit(sample).collect()
     rng = np.random.default_rng(seed)
-    found = [b for b in (blocks(r.html) for r in chosen) if b]
+    found = [b for b in map(blocks, sampled(rows, sample)) if b]
     labels = [[0 if outside(path) else 1 for path, _, _ in page] for page in found]
     texts = [t for page, own in zip(found, labels) for (_, t, _), y in zip(page, own) if y] or ["text"]
     asides = [t for page, own in zip(found, labels) for (_, t, _), y in zip(page, own) if not y] or ["aside"]

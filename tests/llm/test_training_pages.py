@@ -31,3 +31,18 @@ def test_windows_cover_pages_and_train_reads_them():
     x = np.random.default_rng(0).random((23, pages.FEATURES)).astype(np.float32).view(Seen)
     pages.train([x], [np.zeros(23, np.float32)], hidden=4, rounds=5, batch=1, window=5)
     assert read == [(0, 5), (18, 23), (5, 10), (10, 15), (15, 20)]
+
+
+def test_sample_sends_hashes_before_pages(spark, monkeypatch):
+    rows = [(i % 40 if i % 7 else None, f"<p>page {i % 50}</p>") for i in range(120)] + [(3, "<p>same</p>")] * 5
+    raw = spark.createDataFrame(rows, "id long, html string").repartition(6)
+    want = [r.html for r in raw.orderBy(*[pages.F.xxhash64(c) for c in ("id", "html")]).limit(60).collect()]
+    kind, sent = type(raw), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: sent.append((self.columns, "Limit" in self._jdf.queryExecution().optimizedPlan().toString())) or collect(self))
+    given = {}
+    monkeypatch.setattr(pages, "train", lambda found, labels, **more: given.update(n=len(found)))
+    pages.fit(raw, sample=60, made=0, key="id")
+    assert given["n"] == 60 and any(limited for _, limited in sent)
+    assert not any(limited and "html" in columns for columns, limited in sent)
+    assert pages.sampled(raw, 60) == want and pages.sampled(raw.limit(0), 60) == []
