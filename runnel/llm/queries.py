@@ -80,7 +80,7 @@ def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @further_query
 def op3_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(scoring.backoff_scores(table(spark, sf_dir, "documents"), order=3))
+    return _rounded(scoring.backoff_scores(table(spark, sf_dir, "documents"), order=3, compress=True))
 
 
 @query

@@ -3,10 +3,12 @@
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from runnel.llm.queries import further, further_sql
+from runnel.llm.scoring import narrow, widen
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables absent")
@@ -25,3 +27,14 @@ def test_further_query_equals_sql(spark, name):
     columns = sorted(got.column_names)
     assert columns == sorted(want.column_names) and [got.schema.field(c).type for c in columns] == [want.schema.field(c).type for c in columns]
     assert sorted(zip(*(map(str, got.column(c).to_pylist()) for c in columns))) == sorted(zip(*(map(str, want.column(c).to_pylist()) for c in columns)))
+
+
+@pytest.mark.parametrize("compress", [False, True])
+def test_narrow_integers_come_back(compress):
+    rng = np.random.default_rng(6)
+    for most in (1, 200, 70_000, 1 << 33):
+        for n in (0, 1, 2, 5000):
+            values = rng.integers(0, most + 1, n)
+            assert widen(narrow(values, compress), n, compress).tolist() == values.tolist()
+    ones = np.append(np.ones(5000, np.int64), 300)
+    assert not compress or len(narrow(ones, compress)) < 200
