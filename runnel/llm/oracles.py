@@ -1,6 +1,6 @@
 """DuckDB SQL with the same rows as the queries, where SQL can express them.
 
-Token ids (op1, op10), the learned models (op7, op8) and the curve of op2 (its
+Token ids (op1, op10, op11), the learned models (op7, op8) and the curve of op2 (its
 cells are hashed by a Spark function) are held against brute force in tests.
 """
 
@@ -130,12 +130,47 @@ SELECT documents.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, doc
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.a = documents.doc_id
 """
 
+OP12 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding::DOUBLE[], lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+  s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id::VARCHAR) AS h FROM documents),
+  drawn AS (
+    SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+      ('0x' || h[25:32])::BIGINT AS h4
+    FROM d),
+  cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+  parts AS (SELECT *, substring(t, 1, i) AS p, substring(t, i + 1, j - i) AS m, substring(t, j + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars, CASE WHEN form <> 'plain' THEN j - i END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
 SQL = {
     "op3_backoff_scores": OP3,
     "op4_substrings": OP4,
     "op5_lattice_hashing": OP5,
     "op6_decontamination": OP6,
     "op9_jaccard_join": OP9,
+    "op12_hard_negatives": OP12,
+    "op13_fill_in_middle": OP13,
 }
 
 #: Of the queries that stand beside those of each operator.

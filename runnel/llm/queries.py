@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm import decontamination, language, lattice, oracles, packing, pages, partenum, scoring, sharding, substrings, tokens
+from runnel.llm import bpe, decontamination, infill, language, lattice, negatives, oracles, packing, pages, partenum, scoring, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -133,6 +133,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+@query
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = "byte_bpe_50k.json"
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), name)
+    decoded = encoded.withColumn("decoded", bpe.decoder(spark, name)("ids"))
+    return decoded.select("doc_id", "n_tokens", bpe.digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    output, back = F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", output, back)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
