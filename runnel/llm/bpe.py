@@ -33,6 +33,8 @@ CELLS = 1 << 21
 FEW = 12
 #: Slots of the table that remembers tested pairs; entries of the scalar form's memories.
 SLOTS = 1 << 20
+#: Ids decoded at once, unless a single row has more.
+AT_ONCE = 1 << 19
 _NEVER = np.int64(1 << 40)
 
 
@@ -440,23 +442,29 @@ def decoder(spark, vocabulary: str):
     """A column function from ids to text; bytes that form no character become U+FFFD, null ids give null, unknown ids nothing."""
     shared = spark.sparkContext.broadcast(_spellings(vocabulary))
 
+    def spelled_out(ids: pa.Array, words: pa.Array, sizes: np.ndarray) -> list[str]:
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        unknown = (flat < 0) | (flat >= len(words))
+        if unknown.any():
+            flat = np.where(unknown, len(words) - 1, flat)  # the last word is the empty one
+        joined = words.take(pa.array(flat))
+        counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes[flat])])[np.concatenate([[0], np.cumsum(counts)])]
+        raw = memoryview(b"".join(joined.buffers()[2:] if len(flat) else []))
+        return [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
         spelled, bounds = shared.value
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(spelled)])
-        flat = ids.flatten().to_numpy(zero_copy_only=False)
-        inside = (flat >= 0) & (flat < len(words))
-        joined = words.take(pa.array(np.where(inside, flat, 0)))
-        sizes = np.where(inside, np.diff(bounds)[np.where(inside, flat, 0)], 0)
-        if not inside.all():
-            joined = words.take(pa.array(flat[inside]))
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        ends = upto[np.concatenate([[0], np.cumsum(counts)])]
-        data = joined.buffers()[2]
-        base = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset] if len(joined) else 0
-        raw = memoryview(data)[base:] if data is not None else memoryview(b"")
-        texts = [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        bounds = np.append(bounds, bounds[-1]).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(spelled)])
+        counts = np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        texts, i = [], 0
+        while i < len(ids):
+            # Some rows at a time: a batch of rows may hold many ids.
+            j = max(i + 1, int(np.searchsorted(counts, (counts[i - 1] if i else 0) + AT_ONCE, "right")))
+            texts += spelled_out(ids.slice(i, j - i), words, np.diff(bounds))
+            i = j
         return pa.array(texts, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
 
     return decode
