@@ -210,7 +210,7 @@ class Search:
 
 def whole_numbers(vectors: pa.Array, dim: int, scale: float) -> np.ndarray:
     """floor(scale * x) of every component, as doubles; what leaves the range of doubles stays at its end."""
-    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), dim)
     with np.errstate(over="ignore"):
         return np.clip(np.floor(scale * x), -1.7e308, 1.7e308)
 

@@ -18,7 +18,7 @@ SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables absent")
 NAMES = [
     "op1_packing", "op2_hilbert_shards", "op3_backoff_scores", "op4_substrings", "op5_lattice_hashing", "op6_decontamination", "op7_language", "op8_main_text",
-    "op9_jaccard_join", "op10_token_counts", "pipeline",
+    "op9_jaccard_join", "op10_token_counts", "op11_prefix_bpe", "op12_hard_negatives", "op13_fill_in_middle", "pipeline",
 ]
 
 
