@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from runnel.functions.text import grid_key, site_key
 from runnel.functions.values import all_present, density, greater, grid_corner_sql, grid_index
 from runnel.operators.groups import sample_lists
 from runnel.schema import DEFAULT_ROLES, SiteRoles
+from runnel.sources.positions import POSITION, input_order
 
 CELL = ("cell_x", "cell_y")
 
@@ -54,15 +56,16 @@ def hotspots(
     min_score: float = 0.1,
     samples: int = 5,
     roles: SiteRoles = DEFAULT_ROLES,
-    order: Sequence[Column] | None = None,
+    order: Sequence[Column] | Literal["input"] | None = None,
     digits: int = 6,
 ) -> DataFrame:
     """Grid cells with at least ``min_locations`` sites and a score above ``min_score``.
 
     The score is total pollution x sites x mean density / 1000, compared before
-    rounding. Samples are the first sites by ``order`` (default: x, y).
+    rounding. Samples are the first sites by ``order`` (default: x, y); ``"input"``
+    takes the order of the files, of sites read with their position.
     """
-    points = grid_points(sites, grid_size, pollution_threshold, roles)
+    points = grid_points(sites, grid_size, pollution_threshold, roles, [POSITION] if order == "input" else [])
     cells = (
         points.groupBy(*CELL)
         .agg(
@@ -76,7 +79,7 @@ def hotspots(
     )
     # Only points of hot cells are ranked for the samples.
     hot = points.join(cells.select(*CELL), list(CELL), "left_semi")
-    listed = sample_lists(hot, CELL, order or [F.col("x"), F.col("y")], site_key("x", "y"), samples)
+    listed = sample_lists(hot, CELL, input_order(order, [F.col("x"), F.col("y")]), site_key("x", "y"), samples)
     return cells.join(listed, list(CELL)).select(
         cell_name(grid_size).alias("grid"),
         "locations_count",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from runnel.operators.groups import sample_lists
 from runnel.operators.order_stats import HISTOGRAM_ROWS, nth_values
 from runnel.operators.seasonal import with_seasonal_variance
 from runnel.schema import DEFAULT_ROLES, SiteRoles
+from runnel.sources.positions import input_order
 
 # The fractions behind low, medium, high and critical.
 FRACTIONS = (0.25, 0.50, 0.75, 0.90)
@@ -83,13 +85,14 @@ def severity_report(
     features: DataFrame,
     thresholds: Thresholds | None = None,
     samples: int = 10,
-    order: Sequence[Column] | None = None,
+    order: Sequence[Column] | Literal["input"] | None = None,
     digits: int = 6,
 ) -> DataFrame:
     """Count, mean pollution, mean density and sample sites per class.
 
     Pass stored features: they are scanned for the thresholds, the means and
-    the samples. Samples are the first sites by ``order`` (default: x, y).
+    the samples. Samples are the first sites by ``order`` (default: x, y); ``"input"``
+    takes the order of the files, of features that keep ``POSITION``.
     """
     classed = classify_severity(features, thresholds or severity_thresholds(features))
     means = classed.groupBy("category").agg(
@@ -98,6 +101,6 @@ def severity_report(
         F.round(F.avg("density"), digits).alias("avg_density"),
     )
     listed = sample_lists(
-        classed, ["category"], order or [F.col("x"), F.col("y")], site_key("x", "y"), samples
+        classed, ["category"], input_order(order, [F.col("x"), F.col("y")]), site_key("x", "y"), samples
     )
     return means.join(listed, "category")

@@ -158,7 +158,7 @@ def extremes(df: DataFrame, column: str) -> DataFrame:
 
 
 def row_of_maximum(df: DataFrame, column: str, ties: Sequence[str]) -> DataFrame:
-    """The row with the largest value; the smallest ``ties`` columns win."""
+    """The row with the largest value; the smallest ``ties`` columns win, ``POSITION`` among them the first row of the input."""
     return df.where(nan_to_null(column).isNotNull()).orderBy(F.desc(column), *ties).limit(1)
 
 

@@ -6,8 +6,6 @@ scan their input several times get a staged table of the columns they use.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,39 +24,23 @@ from runnel.operators import (
 )
 from runnel.operators.order_stats import quantiles
 from runnel.plans import report, tables
+from runnel.plans.binding import Query, joined, registry, rounded
 from runnel.schema import DEFAULT_ROLES, POSITIONAL, SITE_COLUMNS, SiteRoles, describe_columns
 from runnel.sources import reports, sites as site_files
 from runnel.sources.staging import stage, staging_path
 from runnel.streaming import history, readings
 
-Query = Callable[[SparkSession, str], DataFrame]
-
 ROLES = DEFAULT_ROLES
 POSITIONAL_ROLES = SiteRoles(months=POSITIONAL)
 MID_MONTHS = ROLES.pollution_columns
 _registry: dict[str, Query] = {}
-
-
-def query(function: Query) -> Query:
-    _registry[function.__name__] = function
-    return function
+query = registry(_registry)
 
 
 def registered() -> dict[str, Query]:
     return dict(_registry)
 
 
-def rounded(df: DataFrame, digits: int = 6, *columns: str) -> DataFrame:
-    """Double columns (or those named) rounded."""
-    chosen = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in chosen})
-
-
-def joined(df: DataFrame, name: str = "sample_locations") -> DataFrame:
-    """An array column as one text."""
-    return df.withColumn(name, F.array_join(name, ";"))
-
-
 def staged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     sites = tables.sites(spark, sf_dir)
     return stage(sites.select(*columns) if columns else sites, "sites")

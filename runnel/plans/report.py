@@ -20,7 +20,7 @@ from runnel.operators.hotspots import hotspots
 from runnel.operators.seasonal import seasonal_stats
 from runnel.operators.severity import severity_features, severity_report
 from runnel.schema import DEFAULT_ROLES, POSITIONAL, SiteRoles
-from runnel.sources.reports import write_report
+from runnel.sources.reports import write_report, write_report_file, write_text_file
 from runnel.sources.sites import read_sites_positional
 from runnel.sources.staging import staged
 
@@ -72,24 +72,26 @@ def run_report(
     folder: str,
     roles: SiteRoles = DEFAULT_ROLES,
     registry: Mapping[str, Analysis] | None = None,
+    one_file: bool = False,
 ) -> list[Outcome]:
     """Run every analysis and write its report under ``folder``.
 
     The columns in use are staged once and the analyses run side by side. A
     failing analysis leaves the error text in place of its report and does not
-    stop the others.
+    stop the others. A report is a folder of ordered parts, or with ``one_file`` the
+    text file ``<analysis>.txt``, put in place when it is complete.
     """
     chosen = registry or analyses()
     columns = dict.fromkeys([*used_columns(roles), *(c for a in chosen.values() for c in a.columns)])
 
     def run(name: str, table: DataFrame) -> Outcome:
-        analysis, path = chosen[name], f"{folder.rstrip('/')}/{name}"
+        analysis, path = chosen[name], f"{folder.rstrip('/')}/{name}{'.txt' if one_file else ''}"
         try:
-            write_report(analysis.run(table, roles), path, analysis.key, analysis.order, analysis.drop)
+            (write_report_file if one_file else write_report)(analysis.run(table, roles), path, analysis.key, analysis.order, analysis.drop)
             return Outcome(name, path)
         except Exception as error:  # noqa: BLE001 - reported in the file
             text = table.sparkSession.createDataFrame([(f"Error:\n{error}",)], "value string")
-            text.write.mode("overwrite").text(path)
+            write_text_file(text, path) if one_file else text.write.mode("overwrite").text(path)
             return Outcome(name, path, str(error))
 
     with (
@@ -109,7 +111,7 @@ def main(arguments: list[str]) -> int:
     roles = SiteRoles(months=POSITIONAL) if "--positional" in arguments else DEFAULT_ROLES
     try:
         sites = read_sites_positional(spark, names[0])
-        outcomes = run_report(sites, names[1], roles)
+        outcomes = run_report(sites, names[1], roles, one_file=True)
     except AnalysisException as error:
         print(f"cannot read {names[0]}: {error}")
         return 1

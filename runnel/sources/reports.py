@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Literal, NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runnel.functions.text import json_object
 from runnel.functions.values import parse_float_sql
+from runnel.sources.staging import delete_path
 
 HOTSPOT_POINT_SCHEMA = "latitude double, longitude double, hotspot_score double, grid string"
 
@@ -32,17 +34,61 @@ def write_report(
     report_lines(df, key, order, drop).write.mode("overwrite").text(path)
 
 
+def write_text_file(lines: DataFrame, path: str) -> None:
+    """Write ordered lines as one text file at ``path``, which is there whole or not at all.
+
+    Spark writes sorted parts next to it; the file system joins them, a buffer at a time, and
+    renames the result. Readers see the file before or the one after. For
+    results of many gigabytes take ``write_report``, whose parts stay apart.
+    """
+    spark, made = lines.sparkSession, uuid.uuid4().hex
+    parts, whole = f"{path}.{made}.parts", f"{path}.{made}.part"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = hadoop.fs.Path(path)
+    system = target.getFileSystem(conf)
+    try:
+        lines.write.text(parts)
+        out = system.create(hadoop.fs.Path(whole))
+        try:
+            found = sorted((s.getPath() for s in system.listStatus(hadoop.fs.Path(parts)) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+            for part in found:
+                piece = system.open(part)
+                try:
+                    hadoop.io.IOUtils.copyBytes(piece, out, conf, False)
+                finally:
+                    piece.close()
+        finally:
+            out.close()
+        system.delete(target, True)
+        if not system.rename(hadoop.fs.Path(whole), target):
+            raise OSError(f"cannot rename the report to {path}")
+    finally:
+        delete_path(spark, parts)
+        delete_path(spark, whole)
+
+
+def write_report_file(df: DataFrame, path: str, key: Column, order: list[str | Column], drop: tuple[str, ...] = ()) -> None:
+    """Write report lines as one ordered text file, replacing what the path holds."""
+    write_text_file(report_lines(df, key, order, drop), path)
+
+
+#: Why a report line, or a part of it, is left out.
+REASONS = ("no tab", "bad json", "missing key", "bad coordinate")
+
+
 class HotspotPoints(NamedTuple):
     points: DataFrame
     rejects: DataFrame
 
 
-def parse_hotspot_lines(lines: DataFrame) -> HotspotPoints:
+def parse_hotspot_lines(lines: DataFrame, observation: Observation | None = None) -> HotspotPoints:
     """Sample points of hotspot report lines, and the lines that have faults.
 
     A line without a tab or with bad JSON gives no points. A bad coordinate
     ends its line; points before it are kept. Rejects carry the line and a
-    ``reason``.
+    ``reason``. An ``observation`` counts, while the points are read, the ``lines`` and those of each
+    reason, under its name with ``_`` for spaces.
     """
     schema = "grid string, hotspot_score double, sample_locations array<string>, _bad string"
     parts = F.split(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")), "\t")
@@ -76,19 +122,26 @@ def parse_hotspot_lines(lines: DataFrame) -> HotspotPoints:
         .when(first_bad > 0, "bad coordinate")
         .alias("reason"),
     )
+    watched = tested
+    if observation is not None:
+        # The rejects come from a scan of their own; the counters belong to that of the points.
+        by_reason = [F.count_if(F.col("reason") == r).alias(r.replace(" ", "_")) for r in REASONS]
+        watched = tested.observe(observation, F.count("*").alias("lines"), *by_reason)
     kept = F.col("reason").isNull() | (F.col("reason") == "bad coordinate")
-    points = tested.where(kept).select("grid", "hotspot_score", F.inline("pairs"))
+    points = watched.where(kept).select("grid", "hotspot_score", F.inline("pairs"))
     rejects = tested.where(F.col("reason").isNotNull()).select(F.col("value").alias("line"), "reason")
     return HotspotPoints(points.select("latitude", "longitude", "hotspot_score", "grid"), rejects)
 
 
 def read_hotspot_points(
-    spark: SparkSession, path: str | list[str], on_error: Literal["empty", "raise", "skip"] = "empty"
-) -> DataFrame:
+    spark: SparkSession, path: str | list[str], on_error: Literal["empty", "raise", "skip"] = "empty",
+    observation: Observation | None = None,
+) -> DataFrame:
     """Sample points of a stored hotspot report.
 
     ``on_error`` says what a missing file or a line with a missing JSON key
-    does: give no points at all, raise, or (keys only) skip that line.
+    does: give no points at all, raise, or (keys only) skip that line. An ``observation``
+    counts the lines that are left out, by reason, while the points are read.
     """
     try:
         lines = spark.read.text(path)
@@ -96,7 +149,7 @@ def read_hotspot_points(
         if on_error == "raise":
             raise
         return spark.createDataFrame([], HOTSPOT_POINT_SCHEMA)
-    found = parse_hotspot_lines(lines)
+    found = parse_hotspot_lines(lines, observation)
     if on_error == "skip":
         return found.points
     missing_key = found.rejects.where(F.col("reason") == "missing key")

@@ -7,10 +7,20 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
-from runnel.plans.oracles import oracle_sql
-from runnel.plans.queries import registered as queries
+from runnel.plans import oracles, source_oracles, source_queries
+from runnel.plans import queries as bound
 
 TABLES = Path("/root/testdata/sf0.001")
+
+
+def queries():
+    return bound.registered() | source_queries.registered()
+
+
+def oracle_sql():
+    return oracles.oracle_sql() | source_oracles.oracle_sql()
+
+
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="test tables absent")
 
 
