@@ -33,7 +33,9 @@ THIRDS = 3
 BUCKET = 1 << 19
 #: Bands with fewer parts are partitioned twice, by two hashes.
 FEW_PARTS = 24
-#: Bits of a set's parity sketch.
+#: Bands of more than one and up to so many parts have prefix keys for the sets with an empty signature.
+PREFIX_PARTS = 12
+#: Bits of a set's short parity sketch; larger sets have a wide one too, of at least as many bits as elements.
 SKETCH = 512
 #: Comparisons of group members with others in one round; if there are more, HUBS members of each group at a time.
 PAIRS = 100_000_000
@@ -44,7 +46,7 @@ class Bands:
     """Size bands of sets for a least similarity."""
 
     def __init__(self, similarity: Fraction, largest: int):
-        s = similarity
+        self.similarity = s = similarity
         self.low, self.high, self.differ = [1], [], []
         while True:
             low = self.low[-1]
@@ -99,7 +101,12 @@ def set_hashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signatures(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, set) pairs; signatures that no element of the set takes part in are left out, unless there is one part only."""
+    """(signature, set) pairs.
+
+    Signatures that no element of the set takes part in are left out, unless there is one part only: unrelated
+    sets share them. A similar pair that shares no other one has such signatures on both sides, so sets that
+    have any get, in bands of few parts, a key for each of their first elements by hash; similar sets have one of these in common.
+    """
     sizes = np.diff(bounds)
     out, owners = [], []
     for seed in (1, 2):
@@ -123,6 +130,11 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
         place = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
         label = mix((np.repeat(band, parts).astype(np.uint64) << np.uint64(34)) + (place.astype(np.uint64) << np.uint64(3)) + np.uint64(seed << 2))
         single = np.repeat(parts == 1, parts)
+        if seed == 1:
+            lacks = np.logical_or.reduceat((filled.sum(1) < 2) & ~single, np.cumsum(parts) - parts) & (parts <= PREFIX_PARTS)
+            keys, of = _prefix_keys(hashes, bounds, sets[lacks], band[lacks], bands.similarity)
+            out.append(keys)
+            owners.append(of)
         for left_out in range(THIRDS):
             a, b = [t for t in range(THIRDS) if t != left_out]
             used = np.flatnonzero(filled[:, a] | filled[:, b] | single)
@@ -134,19 +146,41 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
     return np.concatenate(out), np.concatenate(owners)
 
 
-def parity_sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """SKETCH bits for each set: whether an odd number of its elements falls on the bit.
+def _prefix_keys(hashes: np.ndarray, bounds: np.ndarray, sets: np.ndarray, band: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """(key, set): the elements of which a similar set has at least one among its own, by band.
+
+    Similar sets share at least s * n elements of each side's n, so they cannot differ in all of the first n - s * n + 1.
+    """
+    n = np.diff(bounds)[sets]
+    count = n - -(-n * similarity.numerator // similarity.denominator) + 1
+    element = np.arange(count.sum()) + np.repeat(bounds[sets] - (np.cumsum(count) - count), count)
+    label = mix((band.astype(np.uint64) << np.uint64(34)) + np.uint64(3 << 2))
+    return mix(np.repeat(label, count) + hashes[element]), np.repeat(sets, count)
+
+
+def parity_sketches(hashes: np.ndarray, bounds: np.ndarray, size: int = SKETCH) -> np.ndarray:
+    """``size`` bits for each set, a power of two: whether an odd number of its elements falls on the bit.
 
     Elements that two sets share cancel out, so the sketches differ in no more
-    bits than the sets in elements.
+    bits than the sets in elements. The two halves of a sketch, combined by exclusive or, are the sketch of half the size.
     """
     count = len(bounds) - 1
     owner = np.repeat(np.arange(count), np.diff(bounds))
-    bit = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(SKETCH)).astype(np.int64)
-    odd = np.bincount(owner * SKETCH + bit, minlength=count * SKETCH).reshape(count, SKETCH) & 1
+    bit = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(size)).astype(np.int64)
+    odd = np.bincount(owner * size + bit, minlength=count * size).reshape(count, size) & 1
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
+def wide_sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray | None]:
+    """Sketches of sets with more elements than SKETCH, of a bit or two for each element; None for the others."""
+    sizes = np.diff(bounds)
+    out: list[np.ndarray | None] = [None] * len(sizes)
+    for i in np.flatnonzero(sizes > SKETCH).tolist():
+        width = 1 << int(sizes[i] - 1).bit_length()
+        out[i] = parity_sketches(hashes[bounds[i] : bounds[i + 1]], np.array([0, sizes[i]]), width)[0]
+    return out
+
+
 _BLOB = "bucket int, local boolean, signatures binary, members binary, classes binary"
 
 
@@ -234,8 +268,9 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     a group has no other. Rows with equal keys are linked each by its own text.
     An empty table gives an empty result. Shingles and sets are compared by 64-bit hashes.
     Signatures in which a set has no element are left out in bands of several parts, since
-    unrelated sets share them; a similar pair is missed only if all the signatures it shares
-    are of that kind, under both hashes where there are few parts.
+    unrelated sets share them. Up to PREFIX_PARTS parts, prefix keys make up for them and every similar pair
+    meets. Beyond, a pair is missed if each part in which it differs at most once shows nothing
+    it shares, at a chance under 1e-12 (README).
     """
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -276,14 +311,20 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
                 hashes, bounds = shingle_sets(part.column("text"), words)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
                 bits = pa.FixedSizeListArray.from_arrays(pa.array(parity_sketches(hashes, bounds).ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(np.diff(bounds)), lists, bits], names=["class", "n", "shingles", "sketch"])
+                wide = pa.array(wide_sketches(hashes, bounds), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(np.diff(bounds)), lists, bits, wide], names=["class", "n", "shingles", "sketch", "wide"])
 
     texts = rows.select("k1", "k2", "text").repartition(n, "k1", "k2").join(chosen, ["k1", "k2"])
-    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>"), "sets")
-    sketches = held.select("class", "n", "sketch")
-    # A lower bound of the elements in one set only, against what a similar pair may have.
+    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>"), "sets")
+    sketches = held.select("class", "n", "sketch", "wide")
+    # A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says
+    # little; the wide ones are compared after it, the larger folded to the smaller one's size.
     apart = " + ".join(f"bit_count(x[{i}] ^ y[{i}])" for i in range(SKETCH // 64))
-    possible = F.expr(f"({apart}) * {100 + percent} <= {100 - percent} * (na + nb)")
+    shorter = "least(size(wx), size(wy))"
+    folded = {w: f"aggregate(sequence(i, size({w}) - 1, {shorter}), 0L, (a, j) -> a ^ get({w}, j))" for w in ("wx", "wy")}
+    wider = f"aggregate(sequence(0, {shorter} - 1), 0, (s, i) -> s + bit_count({folded['wx']} ^ {folded['wy']}))"
+    within = f"* {100 + percent} <= {100 - percent} * (na + nb)"
+    possible = F.expr(f"({apart}) {within} and (wx is null or wy is null or ({wider}) {within})")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = held.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -294,8 +335,8 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
 
     hub = members.groupBy("signature").agg(F.min("class").alias("a"))
     pairs = members.join(hub, "signature").where("class != a").select("a", F.col("class").alias("b")).distinct()
-    pairs = pairs.join(sketches.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x")), "a")
-    pairs = pairs.join(sketches.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y")), "b").where(possible)
+    pairs = pairs.join(sketches.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"), F.col("wide").alias("wx")), "a")
+    pairs = pairs.join(sketches.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"), F.col("wide").alias("wy")), "b").where(possible)
     links = stage(verified(pairs.select("a", "b")), "links")
     done = spark.createDataFrame([], "signature long, class long")
     whole = False
@@ -317,8 +358,8 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
             order = Window.partitionBy("signature").orderBy("class")
             hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "hubs")
             done = stage(done.union(hubs.select("signature", "class")), "done")
-        x = hubs.select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
-        y = torn.select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+        x = hubs.select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"), F.col("wide").alias("wx"))
+        y = torn.select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"), F.col("wide").alias("wy"))
         pairs = x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & possible)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = stage(links.union(verified(pairs)), "links")

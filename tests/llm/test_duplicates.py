@@ -1,7 +1,9 @@
 """Substring removal, near duplicates and near vectors against brute force."""
 
+import random
 import re
 from collections import Counter
+from fractions import Fraction
 from itertools import product
 
 import numpy as np
@@ -13,6 +15,7 @@ from runnel.llm import lattice, partenum
 from runnel.llm.lattice import SHORTEST, near_vectors, nearest
 from runnel.llm.partenum import similar_groups
 from runnel.llm.substrings import remove_repeats
+from runnel.llm.words import mix
 
 
 def spaced(text, lower=False):
@@ -209,3 +212,54 @@ def test_recall_at_the_least_cosine(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     assert near_vectors(df).agg(F.sum("n_links")).first()[0] / 6000 >= 0.9
     assert lattice.cells(a[:2], 8, 16, 0.7, 5)[1].shape == (2, 8, 16)
+
+
+@pytest.mark.parametrize("percent, shared, a, b", [(80, 12, 1, 2), (80, 12, 0, 3), (80, 8, 1, 1), (80, 16, 2, 2), (90, 9, 0, 1), (90, 18, 1, 1)])
+def test_no_small_pair_is_lost(percent, shared, a, b):
+    """400,000 pairs at exactly the least similarity share a signature or a prefix key each."""
+    rng, n = np.random.default_rng(percent + shared), 50_000
+    bands = partenum.Bands(Fraction(percent, 100), 1000)
+    for _ in range(8):
+        h = rng.integers(0, 1 << 63, (n, shared + a + b)).astype(np.uint64)
+        sides = [np.sort(h[:, : shared + a], 1), np.sort(np.concatenate([h[:, :shared], h[:, shared + a :]], 1), 1)]
+        named = []
+        for side in sides:
+            made, owner = partenum.signatures(side.ravel(), np.arange(n + 1) * side.shape[1], bands)
+            named.append((mix(made + mix(owner.astype(np.uint64))), owner))
+        at = np.flatnonzero(np.isin(named[0][0], named[1][0]))
+        assert len(np.unique(named[0][1][at])) == n
+
+
+def test_wide_sketches_bound_the_difference_and_tell_long_sets_apart():
+    rng = np.random.default_rng(3)
+    for n, m, shared in ((600, 600, 0), (1300, 1300, 0), (1300, 1100, 1050), (3000, 2900, 2800), (5000, 4200, 0)):
+        common = rng.integers(0, 1 << 63, shared).astype(np.uint64)
+        x, y = (np.concatenate([common, rng.integers(0, 1 << 63, k - shared).astype(np.uint64)]) for k in (n, m))
+        wx, wy = partenum.wide_sketches(np.concatenate([x, y]), np.array([0, n, n + m]))
+        while len(wx) != len(wy):
+            wx, wy = (w if len(w) == min(len(wx), len(wy)) else w[: len(w) // 2] ^ w[len(w) // 2 :] for w in (wx, wy))
+        differ = int(np.bitwise_count((wx ^ wy).view(np.uint64)).sum())
+        assert differ <= n + m - 2 * shared
+        assert (differ * 180 <= 20 * (n + m)) == (shared > 0)
+    assert partenum.wide_sketches(x[:512], np.array([0, 512])) == [None]
+
+
+def test_long_texts_that_share_a_passage(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+
+    def text(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    base = text(1500)
+    texts = [" ".join(text(rng.randrange(1200, 1600)) + passage) for _ in range(25)]
+    for k in (0, 20, 60, 110):
+        copy = list(base)
+        for _ in range(k):
+            copy[rng.randrange(1500)] = "x"
+        texts.append(" ".join(copy + passage))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for words_, percent in ((5, 80), (3, 90)):
+        got = sorted(map(tuple, partenum.similar_groups(df, words=words_, percent=percent).collect()))
+        assert got == sorted(groups(rows, words_, percent))
