@@ -35,8 +35,11 @@ BUCKET = 1 << 19
 FEW_PARTS = 24
 #: Bands of more than one and up to so many parts have prefix keys for the sets with an empty signature.
 PREFIX_PARTS = 12
-#: Bits of a set's short parity sketch; larger sets have a wide one too, of at least as many bits as elements.
+#: Elements whose signatures are made at once, unless one set has more.
+RUN = 1 << 16
+#: Bits of a set's parity sketch, and of the wide one of sets of more elements than that.
 SKETCH = 512
+WIDE = 2048
 #: Comparisons of group members with others in one round; if there are more, HUBS members of each group at a time.
 PAIRS = 100_000_000
 HUBS = 8
@@ -146,6 +149,18 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
     return np.concatenate(out), np.concatenate(owners)
 
 
+def _in_runs(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """``signatures`` of a run of sets at a time, so that what is held besides the result stays small."""
+    made, owners, i = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while i < len(bounds) - 1:
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + RUN, "right")) - 1)
+        some, owner = signatures(hashes[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], bands)
+        made.append(some)
+        owners.append(owner + i)
+        i = j
+    return np.concatenate(made), np.concatenate(owners)
+
+
 def _prefix_keys(hashes: np.ndarray, bounds: np.ndarray, sets: np.ndarray, band: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """(key, set): the elements of which a similar set has at least one among its own, by band.
 
@@ -171,14 +186,24 @@ def parity_sketches(hashes: np.ndarray, bounds: np.ndarray, size: int = SKETCH)
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
-def wide_sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray | None]:
-    """Sketches of sets with more elements than SKETCH, of a bit or two for each element; None for the others."""
-    sizes = np.diff(bounds)
-    out: list[np.ndarray | None] = [None] * len(sizes)
-    for i in np.flatnonzero(sizes > SKETCH).tolist():
-        width = 1 << int(sizes[i] - 1).bit_length()
-        out[i] = parity_sketches(hashes[bounds[i] : bounds[i + 1]], np.array([0, sizes[i]]), width)[0]
-    return out
+def wide_sketches(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """WIDE bits for each set of more elements than SKETCH; null for the others."""
+    large = np.diff(bounds) > SKETCH
+    sizes = np.where(large, np.diff(bounds), 0)
+    bits = np.zeros((len(sizes), WIDE // 64), np.int64)
+    element = np.repeat(large, np.diff(bounds))
+    of_large = np.concatenate([[0], np.cumsum(sizes[large])])
+    bits[large] = parity_sketches(hashes[element], of_large, WIDE)
+    return pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel()), WIDE // 64, mask=pa.array(~large)).cast(pa.list_(pa.int64()))
+
+
+def long_sketches(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Sketches of sets of more than WIDE elements, of one or two bits for each element; null for the others."""
+    out: list[np.ndarray | None] = [None] * (len(bounds) - 1)
+    for i in np.flatnonzero(np.diff(bounds) > WIDE).tolist():
+        n = int(bounds[i + 1] - bounds[i])
+        out[i] = parity_sketches(hashes[bounds[i] : bounds[i + 1]], np.array([0, n]), 1 << (n - 1).bit_length())[0]
+    return pa.array(out, pa.list_(pa.int64()))
 
 
 _BLOB = "bucket int, local boolean, signatures binary, members binary, classes binary"
@@ -200,7 +225,7 @@ def _send(batches: Iterator[pa.RecordBatch], n: int, similarity: Fraction, bucke
             element = np.arange(sizes[once].sum()) + np.repeat(bounds[once] - (np.cumsum(sizes[once]) - sizes[once]), sizes[once])
             bounds = np.concatenate([[0], np.cumsum(sizes[once])])
             classes = classes[once]
-            made, owner = signatures(hashes[element], bounds, bands)
+            made, owner = _in_runs(hashes[element], bounds, bands)
             bucket = ((made >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             name = (bucket << 32) | (made & np.uint64(0xFFFFFFFF)).astype(np.int64)
             order = np.lexsort((classes[owner], name))
@@ -311,20 +336,21 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
                 hashes, bounds = shingle_sets(part.column("text"), words)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
                 bits = pa.FixedSizeListArray.from_arrays(pa.array(parity_sketches(hashes, bounds).ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
-                wide = pa.array(wide_sketches(hashes, bounds), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(np.diff(bounds)), lists, bits, wide], names=["class", "n", "shingles", "sketch", "wide"])
+                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(np.diff(bounds)), lists, bits, wide_sketches(hashes, bounds), long_sketches(hashes, bounds)], names=["class", "n", "shingles", "sketch", "wide", "long"])
 
     texts = rows.select("k1", "k2", "text").repartition(n, "k1", "k2").join(chosen, ["k1", "k2"])
-    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>"), "sets")
-    sketches = held.select("class", "n", "sketch", "wide")
-    # A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says
-    # little; the wide ones are compared after it, the larger folded to the smaller one's size.
+    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>, long array<long>"), "sets")
+    sketches = held.select("class", "n", "sketch", "wide", "long")
+    # A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says little.
+    # Written out word by word, so that the join compiles it and makes no object for a pair.
     apart = " + ".join(f"bit_count(x[{i}] ^ y[{i}])" for i in range(SKETCH // 64))
-    shorter = "least(size(wx), size(wy))"
-    folded = {w: f"aggregate(sequence(i, size({w}) - 1, {shorter}), 0L, (a, j) -> a ^ get({w}, j))" for w in ("wx", "wy")}
-    wider = f"aggregate(sequence(0, {shorter} - 1), 0, (s, i) -> s + bit_count({folded['wx']} ^ {folded['wy']}))"
+    wider = " + ".join(f"bit_count(wx[{i}] ^ wy[{i}])" for i in range(WIDE // 64))
     within = f"* {100 + percent} <= {100 - percent} * (na + nb)"
     possible = F.expr(f"({apart}) {within} and (wx is null or wy is null or ({wider}) {within})")
+    # The few sets beyond have sketches as long as they are; the longer of two is folded to the shorter one's size.
+    shorter = "least(size(lx), size(ly))"
+    folded = {w: f"aggregate(sequence(i, size({w}) - 1, {shorter}), 0L, (a, j) -> a ^ {w}[j])" for w in ("lx", "ly")}
+    longer = F.expr(f"aggregate(sequence(0, {shorter} - 1), 0, (s, i) -> s + bit_count({folded['lx']} ^ {folded['ly']})) {within}")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = held.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -358,9 +384,16 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
             order = Window.partitionBy("signature").orderBy("class")
             hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "hubs")
             done = stage(done.union(hubs.select("signature", "class")), "done")
-        x = hubs.select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"), F.col("wide").alias("wx"))
-        y = torn.select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"), F.col("wide").alias("wy"))
-        pairs = x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & possible)
+        pairs = None
+        # A similar pair is under WIDE on one side and at most a little over it on the other, or over it on both.
+        for chosen, held_as, test in (
+            (F.col("n") <= WIDE * 100 // percent, (("sketch", ("x", "y")), ("wide", ("wx", "wy"))), (F.least("na", "nb") <= WIDE) & possible),
+            (F.col("n") > WIDE, (("long", ("lx", "ly")),), longer),
+        ):
+            x = hubs.where(chosen).select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), *(F.col(c).alias(n[0]) for c, n in held_as))
+            y = torn.where(chosen).select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), *(F.col(c).alias(n[1]) for c, n in held_as))
+            found = x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & test).select("a", "b")
+            pairs = found if pairs is None else pairs.union(found)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = stage(links.union(verified(pairs)), "links")
         groups = stage(components(links), "components")

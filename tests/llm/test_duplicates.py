@@ -232,16 +232,20 @@ def test_no_small_pair_is_lost(percent, shared, a, b):
 
 def test_wide_sketches_bound_the_difference_and_tell_long_sets_apart():
     rng = np.random.default_rng(3)
-    for n, m, shared in ((600, 600, 0), (1300, 1300, 0), (1300, 1100, 1050), (3000, 2900, 2800), (5000, 4200, 0)):
+    for n, m, shared in ((600, 600, 0), (1300, 1300, 0), (1300, 1100, 1050), (3000, 2900, 2800), (4000, 3600, 0)):
         common = rng.integers(0, 1 << 63, shared).astype(np.uint64)
         x, y = (np.concatenate([common, rng.integers(0, 1 << 63, k - shared).astype(np.uint64)]) for k in (n, m))
-        wx, wy = partenum.wide_sketches(np.concatenate([x, y]), np.array([0, n, n + m]))
-        while len(wx) != len(wy):
-            wx, wy = (w if len(w) == min(len(wx), len(wy)) else w[: len(w) // 2] ^ w[len(w) // 2 :] for w in (wx, wy))
+        wx, none, wy = (None if w is None else np.array(w) for w in partenum.wide_sketches(np.concatenate([x, x[:512], y]), np.array([0, n, n + 512, n + 512 + m])).to_pylist())
         differ = int(np.bitwise_count((wx ^ wy).view(np.uint64)).sum())
-        assert differ <= n + m - 2 * shared
+        assert none is None and differ <= n + m - 2 * shared
         assert (differ * 180 <= 20 * (n + m)) == (shared > 0)
-    assert partenum.wide_sketches(x[:512], np.array([0, 512])) == [None]
+        lx, ly = (np.array(w) if w else None for w in partenum.long_sketches(np.concatenate([x, y]), np.array([0, n, n + m])).to_pylist())
+        assert (lx is None) == (n <= partenum.WIDE) and (ly is None) == (m <= partenum.WIDE)
+        if lx is not None and ly is not None:
+            while len(lx) != len(ly):
+                lx, ly = (w if len(w) == min(len(lx), len(ly)) else w[: len(w) // 2] ^ w[len(w) // 2 :] for w in (lx, ly))
+            differ = int(np.bitwise_count((lx ^ ly).view(np.uint64)).sum())
+            assert differ <= n + m - 2 * shared and (differ * 180 <= 20 * (n + m)) == (shared > 0)
 
 
 def test_long_texts_that_share_a_passage(spark):
@@ -251,13 +255,16 @@ def test_long_texts_that_share_a_passage(spark):
     def text(n):
         return [f"w{rng.randrange(10**6)}" for _ in range(n)]
 
-    base = text(1500)
     texts = [" ".join(text(rng.randrange(1200, 1600)) + passage) for _ in range(25)]
-    for k in (0, 20, 60, 110):
-        copy = list(base)
-        for _ in range(k):
-            copy[rng.randrange(1500)] = "x"
-        texts.append(" ".join(copy + passage))
+    texts += [" ".join(text(rng.randrange(3900, 4300)) + passage) for _ in range(12)]
+    # Around the limit, also where one side is over WIDE and where the sizes of long sketches differ.
+    for n in (1500, 2040, 4100):
+        base = text(n)
+        for k in (0, 10, 30, 50):
+            copy = list(base)
+            for _ in range(k * n // 1500):
+                copy[rng.randrange(n)] = "x"
+            texts.append(" ".join(copy[k % 3 * n // 60 :] + passage))
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for words_, percent in ((5, 80), (3, 90)):
