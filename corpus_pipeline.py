@@ -17,6 +17,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least share of a document's letters in its main language; texts of two languages stay.
 MAIN_LANGUAGE = 0.34
 VOCABULARY = "word_bpe_49k.json"
+#: Rows of an Arrow batch. Whole texts go to Python and back, and both sides hold a batch each way.
+BATCH = 3_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Learned from the labelled documents outside the held-out fold. Rows with
     a null doc_id are judged like others.
     """
+    _small_batches(spark)
     model = language.fit(docs.where(~language.held_out()))
     found = language.identify(docs, model, carry=[c for c in COLUMNS if c != "doc_id"])
     kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MAIN_LANGUAGE)
@@ -33,6 +40,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a similarity of 0.8: that of the smallest doc_id."""
+    _small_batches(spark)
     groups = partenum.similar_groups(docs, words=5, percent=80)
     dropped = groups.where("doc_id != component_id").select("doc_id").distinct()
     # Rows that share a doc_id are one document; null ones are kept.
@@ -44,6 +52,7 @@ def remove_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document of which no word is left goes.
     """
+    _small_batches(spark)
     cut = substrings.remove_repeats(docs, carry=["lang", "source"], as_is=True)
     kept = cut.where((F.col("n_removed") == 0) | (F.col("n_words") > F.col("n_removed")))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
@@ -51,6 +60,7 @@ def remove_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten words in a row of a benchmark item, nor a shorter item as a whole."""
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contamination(docs, benchmark, carry=[c for c in COLUMNS if c != "doc_id"])
     return found.where("n_hit = 0").select(*COLUMNS)
@@ -58,6 +68,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows of the remaining documents, one row per piece, with its ids."""
+    _small_batches(spark)
     return packing.pack(docs, VOCABULARY, with_ids=True)
 
 
