@@ -142,13 +142,14 @@ def remove_repeats(
         # Rows already below two in one sketch row need not be counted in the next.
         sketch = counted.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
         repeated = counted.join(sketch, "cell", "left_semi").drop("cell")
-    marked = stage(repeated.groupBy("k1", "k2").agg(F.collect_list("at").alias("ats")), "marked")
+    # Rows with equal keys and texts share k1 and k2: sets hold a text's positions once, however many such rows there are.
+    marked = stage(repeated.groupBy("k1", "k2").agg(F.collect_set("at").alias("ats")), "marked")
 
     spread = rows.repartition(n, "k1", "k2")
     schema = T.StructType().add("h", T.LongType()).add("id", id_type).add("k1", T.LongType()).add("k2", T.IntegerType()).add("start", T.IntegerType())
     windows = spread.join(marked, ["k1", "k2"]).select("id", "text", "k1", "k2", "ats").mapInArrow(lambda b: _windows(b, window, gram), schema)
     groups = windows.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h", "low")
-    covered = windows.join(groups, "h").where("id > low").groupBy("k1", "k2").agg(F.collect_list("start").alias("starts"))
+    covered = windows.join(groups, "h").where("id > low").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
 
     carried = rows.schema["carry"].dataType
     result = T.StructType().add("id", id_type).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("text", T.StringType()).add("carry", carried)
