@@ -38,7 +38,7 @@ _OF_GAP = np.array([0, *(x for name, _, _ in SCRIPTS for x in (_NAMES.index(name
 FEATURES = 1 << 15
 #: Bytes of text labelled at once; each takes some 60 bytes of memory.
 SLICE = 1 << 21
-#: Words in one path; a longer text is labelled in parts of so many words.
+#: Words of a path that are looked at together; a longer path goes on from part to part.
 PATH = 4096
 UNDETERMINED = "und"
 
@@ -93,17 +93,30 @@ class Model:
     penalty: float = 12.0
 
 
+def sampled(rows: DataFrame, per_language: int) -> DataFrame:
+    """The rows of (lang, text, h) with the ``per_language`` smallest h of each language, equal ones once.
+
+    Only hashes are ranked, in 64 groups a language first, so no task holds a
+    language; the rows are then read again with one bound a language.
+    """
+    rows = rows.where("text is not null and lang is not null")
+    hashes = rows.select("lang", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64)))
+    for groups in (("lang", "part"), ("lang",)):
+        hashes = hashes.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy("h"))).where(F.col("rank") <= per_language)
+    bounds = hashes.groupBy("lang").agg(F.max("h").alias("bound"))
+    # One row per language, as many as the model has.
+    return rows.join(F.broadcast(bounds), "lang").where("h <= bound").dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 400, rare: float = 0.01, penalty: float = 12.0) -> Model:
     """Trigram and script counts of a bounded sample: ``per_language`` documents of each language.
 
-    The sample holds the rows with the smallest hashes of their keys, whole
-    texts. Rows without text or language are left out. A language uses a script
+    The sample holds the rows with the smallest hashes of key and text, whole
+    texts; equal rows are learned from once. Rows without text or language are left out. A language uses a script
     if at least ``rare`` of its letters are in it. Counts are summed on Spark; the driver gets
     FEATURES numbers per language.
     """
-    rows = labelled.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
-    sample = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    sample = sampled(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h")), per_language)
     scripts = len(_NAMES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +169,18 @@ def best_path(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndar
     """Language of every word on the best path of each run bounds[i]:bounds[i+1] of words.
 
     All runs advance together, the longest first, so each step is a few array
-    operations. Of equal ways to a word, staying in its language wins, then the
+    operations; those of more than PATH words go one by one. Of equal ways to a word, staying in its language wins, then the
     first language.
     """
     k, total = scores.shape
     sizes = np.diff(bounds)
+    if k > 1 and total and sizes.max() > PATH:
+        out = np.empty(total, np.int16)
+        short = np.repeat(sizes <= PATH, sizes)
+        out[short] = best_path(scores[:, short], np.concatenate([[0], np.cumsum(np.where(sizes <= PATH, sizes, 0))]), penalty)
+        for i in np.flatnonzero(sizes > PATH):
+            out[bounds[i] : bounds[i + 1]] = long_path(scores[:, bounds[i] : bounds[i + 1]], penalty)
+        return out
     order = np.argsort(-sizes, kind="stable")
     begin, sizes = bounds[:-1][order], sizes[order]
     out = np.zeros(total, np.int16)
@@ -170,7 +190,7 @@ def best_path(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndar
     came = np.zeros(total, np.int16)
     longest = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(1, longest + 1), "right")
-    value = scores[:, begin[: active[0]]].copy()
+    value = scores[:, begin[: active[0]]].astype(np.float64)
     finals = np.zeros(len(sizes), np.int16)
     for t in range(1, longest):
         n, ended = active[t], active[t - 1]
@@ -198,10 +218,31 @@ def best_path(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndar
     return out
 
 
-def paths(first: np.ndarray) -> np.ndarray:
-    """Bounds of the runs of words that get a path each: documents, long ones in parts."""
-    cuts = [np.arange(a, b, PATH) for a, b in zip(first[:-1], first[1:]) if b - a > PATH]
-    return np.unique(np.concatenate([first, *cuts]))
+def long_path(scores: np.ndarray, penalty: float) -> np.ndarray:
+    """The path of ``best_path`` for one long run: the values of its languages are handed on from part to part.
+
+    Kept are the language before each word, for every language at it, so the way back is exact.
+    """
+    k, total = scores.shape
+    came = np.empty((total, k), np.int16)
+    value = [0.0] * k
+    for a in range(0, total, PATH):
+        steps = []
+        for own in scores[:, a : a + PATH].T.tolist():
+            top = max(value)
+            leader, least = value.index(top), top - penalty
+            steps.append([j if v >= least else leader for j, v in enumerate(value)])
+            value = [(v if v >= least else least) + s for v, s in zip(value, own)]
+        came[a : a + len(steps)] = steps
+    out = np.empty(total, np.int16)
+    state = value.index(max(value))
+    for a in reversed(range(0, total, PATH)):
+        states = []
+        for step in reversed(came[a : a + PATH].tolist()):
+            states.append(state)
+            state = step[state]
+        out[a : a + len(states)] = states[::-1]
+    return out
 
 
 def _has_letter(text: str) -> bool:
@@ -236,7 +277,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                 features, starts, ends, letters, script, first = _words(texts)
                 documents = np.repeat(np.arange(len(part)), np.diff(first))
                 if k and len(starts):
-                    label = best_path(word_scores(model, features, starts, ends, script), paths(first), model.penalty)
+                    label = best_path(word_scores(model, features, starts, ends, script), first, model.penalty)
                 else:
                     label = np.zeros(len(starts), np.int16)
                 share = np.zeros((len(part), max(k, 1)))
