@@ -45,8 +45,13 @@ OUTSIDE_NAMES = {
 }
 INSIDE_TAGS = {"article", "main"}
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+#: A ">" inside a quoted value does not end the tag; a quote that is never closed is none.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)>""")
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.DOTALL)
+NAMED = {"class", "id", "role"}
+#: Hidden elements of another markup, which alone may close themselves.
+FOREIGN = {"svg", "math"}
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -59,13 +64,20 @@ SEQUENCE = 2048
 Path = tuple[str, ...]
 
 
+def closes_itself(rest: str) -> bool:
+    """Whether what follows a tag's name ends in a "/" that belongs to no value."""
+    ends = [m.end() for m in _ATTRIBUTE.finditer(rest)]
+    return rest.endswith("/") and (not ends or ends[-1] < len(rest))
+
+
 def blocks(page: str) -> list[tuple[Path, str, int]]:
     """(path, text, length of link text) of the page's non-empty leaf blocks, in page order.
 
     The path holds a tag and, behind dots, the words of its class, id and role
     per open element. Character references are decoded and white space is made
     one space. Comments, scripts, styles and other hidden elements are left out; an unclosed one
-    hides the rest of the page.
+    hides the rest of the page. Tags end as HTML has it: not inside quoted values, and a
+    "/" before the end closes no HTML element.
     """
     out: list[tuple[Path, str, int]] = []
     path: list[str] = []
@@ -92,8 +104,8 @@ def blocks(page: str) -> list[tuple[Path, str, int]]:
             if "a" in tags:
                 links += begin - at
         if page.startswith("<!--", begin):
-            end = page.find("-->", begin + 4)
-            at = len(page) if end < 0 else end + 3
+            comment = _COMMENT.match(page, begin)
+            at = comment.end() if comment else len(page)
             continue
         if page.startswith(("<!", "<?"), begin):
             end = page.find(">", begin)
@@ -111,8 +123,8 @@ def blocks(page: str) -> list[tuple[Path, str, int]]:
         closes, name, rest = tag[1], tag[2].lower(), tag[3]
         at = tag.end()
         if name in HIDDEN:
-            if not closes and not rest.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+            if not closes and not (name in FOREIGN and closes_itself(rest)):
+                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
             continue
         if name in BLOCK:
@@ -125,13 +137,14 @@ def blocks(page: str) -> list[tuple[Path, str, int]]:
                 # An inline element does not end the blocks inside it.
                 if name in BLOCK or not any(t in BLOCK for t in tags[place + 1 :]):
                     del tags[place:], path[place:]
-        elif name not in VOID and not rest.endswith("/"):
+        elif name not in VOID:
             if name in BLOCK:
                 while tags and tags[-1] not in BLOCK:
                     tags.pop(), path.pop()
                 if tags and name in ENDS_ITSELF.get(tags[-1], ()):
                     tags.pop(), path.pop()
-            names = [w for m in _NAMES.finditer(rest) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())]
+            named = [m for m in _ATTRIBUTE.finditer(rest) if m[1].lower() in NAMED]
+            names = [w for m in named for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())]
             tags.append(name)
             path.append(".".join([name, *names]))
     flush()

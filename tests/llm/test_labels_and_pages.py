@@ -9,7 +9,7 @@ from odd import documents, empty
 
 from runnel.llm import decontamination, language, pages
 from runnel.llm.decontamination import contamination
-from runnel.llm.language import Model, best_path, identify, paths
+from runnel.llm.language import Model, best_path, identify
 
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -68,9 +68,28 @@ def test_best_path_is_the_best():
             assert value(label[a:b], own) == pytest.approx(best, abs=1e-4)
 
 
-def test_long_documents_are_labelled_in_parts(monkeypatch):
-    monkeypatch.setattr(language, "PATH", 4)
-    assert paths(np.array([0, 3, 13, 13, 14])).tolist() == [0, 3, 7, 11, 13, 14]
+def test_long_paths_equal_one_path(monkeypatch):
+    rng = np.random.default_rng(6)
+    bounds = np.concatenate([[0], np.cumsum([0, 3, 700, 1, 0, 95, 1500, 6])])
+    near = (rng.normal(size=(4, bounds[-1])) * 2).astype(np.float32)
+    ties = rng.integers(-3, 1, (4, bounds[-1])).astype(np.float32)
+    for scores in (near, ties):
+        whole = best_path(scores, bounds, 3.0)
+        for part in (1, 7, 64, 1000):
+            monkeypatch.setattr(language, "PATH", part)
+            assert (best_path(scores, bounds, 3.0) == whole).all()
+        monkeypatch.undo()
+
+
+def test_the_sample_is_bounded_and_equal_rows_count_once(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 'fr', 'en') as lang", "if(id % 3 = 1, 'same', concat('t', id)) as text", "if(id % 3 = 1, 7L, xxhash64(id)) as h")
+    got = [(r.lang, r.text) for r in language.sampled(rows.repartition(7), 50).collect()]
+    want = []
+    for name in ("en", "fr"):
+        own = sorted((r.h, r.lang, r.text) for r in rows.where(f"lang = '{name}'").collect())
+        want += sorted({x[1:] for x in own if x[0] <= own[49][0]})
+    assert sorted(got) == sorted(want) and 50 <= len(got) <= 100
+    assert language.sampled(rows.limit(0), 50).collect() == []
 
 
 LINES = {
@@ -159,3 +178,30 @@ def test_slopes_lower_the_loss():
     model = pages.train(xs, ys, hidden=8, rounds=150, batch=4)
     assert np.mean(np.concatenate([(s >= 0.5) == y for s, y in zip(pages.label(model, xs), ys)])) > 0.9
     assert pages.label(model, [np.zeros((0, pages.FEATURES), np.float32)])[0].shape == (0,)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<p data-x="a>b">Hello', ["Hello"]),
+        ('<p><a title="2 > 1">link</a> on', ["link on"]),
+        ('<p>x<img alt="1>0" src=a>y', ["xy"]),
+        ("<p title='a>\"b'>one</p><p title=it's>two</p>", ["one", "two"]),
+        ("<script src=/a/>var x=1;</script><p>text", ["text"]),
+        ("<script src='a'/>var x=1;</script foo><p>text", ["text"]),
+        ("<svg/><p>after<svg><text>no</text></svg>", ["after"]),
+        ("<!--><p>one<!---><p>two<!-- <p> --!><p>three<!-- never closed <p>four", ["one", "two", "three"]),
+        ('<p title="never closed>one</p><p>two', ["one", "two"]),
+        ("<p class = >one</p><p a==b>two", ["one", "two"]),
+        ('<a href=x?q="1>one</a> two', ["one two"]),
+        ("1 < 2 <p>3 <4", ["1 < 2", "3 <4"]),
+        ("<p>one</p><p title='cut", ["one"]),
+    ],
+)
+def test_tags_end_where_html_has_it(page, want):
+    assert [text for _, text, _ in pages.blocks(page)] == want
+
+
+def test_names_come_from_attributes_alone():
+    path, _, _ = pages.blocks('<div title="x class=ad" data-class="menu" CLASS=\'Body text\' id=main/>A<p>b')[0]
+    assert path == ("div.body.text.main",)
