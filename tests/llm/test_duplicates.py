@@ -270,3 +270,13 @@ def test_long_texts_that_share_a_passage(spark):
     for words_, percent in ((5, 80), (3, 90)):
         got = sorted(map(tuple, partenum.similar_groups(df, words=words_, percent=percent).collect()))
         assert got == sorted(groups(rows, words_, percent))
+
+
+def test_repeats_in_many_equal_rows(spark):
+    rng = np.random.default_rng(4)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 10**6, 400))
+    rows = spark.range(20_000).select(F.when(F.col("id") < 19_000, 5).when(F.col("id") < 19_990, F.lit(None)).otherwise(F.col("id")).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    got = remove_repeats(rows).groupBy("doc_id", "n_removed", F.length("text").alias("n")).count().collect()
+    # Null keys remove nothing and lose nothing; the others lose all to the smallest key.
+    want = [(5, 0, len(text), 19_000), (None, 0, len(text), 990)] + [(i, 400, 0, 1) for i in range(19_990, 20_000)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
