@@ -162,39 +162,52 @@ def row_of_maximum(df: DataFrame, column: str, ties: Sequence[str]) -> DataFrame
     return df.where(nan_to_null(column).isNotNull()).orderBy(F.desc(column), *ties).limit(1)
 
 
-def _pair_moments(shift: Sequence[float]):
-    """Arrow batches of one task to moment sums per column pair."""
-    centre = np.asarray(shift)
-    k = len(centre)
+_PAIR_SUMS = ["n", "mean_a", "mean_b", "apart_a", "apart_b", "joint", "raw_a", "raw_b", "size_a", "size_b"]
+
+
+def _pair_moments(k: int):
+    """Arrow batches of one task to one row of moments per column pair.
+
+    A batch is moved by its own means before it is multiplied; batches are merged
+    by their means and deviations, so neither large offsets nor drifting ones cancel.
+    """
     left, right = np.tril_indices(k)
-    names = ["a", "b", "n", "sa", "sb", "saa", "sbb", "sab"]
+    names = ["a", "b", *_PAIR_SUMS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, q, p = (np.zeros((k, k)) for _ in range(4))
+        # Entry [i, j] is about column i over the rows where i and j are present.
+        n, mean, apart, joint, raw = (np.zeros((k, k)) for _ in range(5))
+        size = np.zeros(k)
+        rows = 0
         for batch in batches:
+            if not len(batch):
+                continue
+            rows += len(batch)
             values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
             present = np.isfinite(values)
-            d = np.where(present, values - centre, 0.0)
+            values = np.where(present, values, 0.0)
             w = present.astype(float)
-            n += w.T @ w
-            s += d.T @ w
-            q += (d * d).T @ w
-            p += d.T @ d
-        arrays = [left, right, n[left, right], s[left, right], s[right, left]]
-        arrays += [q[left, right], q[right, left], p[left, right]]
-        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
-
-    return run, "a bigint, b bigint, " + ", ".join(f"{c} double" for c in names[2:])
-
+            centre = values.sum(0) / np.maximum(w.sum(0), 1)
+            d = (values - centre) * w
+            own = w.T @ w
+            some = np.maximum(own, 1)
+            total, squares = d.T @ w, (d * d).T @ w
+            near = total / some
+            whole = np.maximum(n + own, 1)
+            step = np.where(own > 0, centre[:, None] + near - mean, 0.0)
+            share = n * own / whole
+            apart += np.maximum(squares - total * near, 0) + step * step * share
+            joint += d.T @ d - total * near.T + step * step.T * share
+            raw += squares
+            mean += step * own / whole
+            n += own
+            size = np.maximum(size, np.abs(values).max(0))
+        if rows:
+            arrays = [left, right, n[left, right], mean[left, right], mean[right, left], apart[left, right], apart[right, left]]
+            arrays += [joint[left, right], raw[left, right], raw[right, left], size[left], size[right]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=names)
 
-def _centres_and_scales(table: DataFrame) -> tuple[list[float], list[float]]:
-    """Mean and largest size of the finite values of every column; 0 for a column without any."""
-    finite = [f"case when abs({quoted(c)}) < double('inf') then {quoted(c)} end" for c in table.columns]
-    row = table.selectExpr(*[f"{f} as `{i}`" for i, f in enumerate(finite)]).selectExpr(
-        *[f"coalesce(avg(`{i}`), 0D)" for i in range(len(finite))],
-        *[f"coalesce(max(abs(`{i}`)), 0D)" for i in range(len(finite))],
-    ).first()
-    return list(row[: len(finite)]), list(row[len(finite) :])
+    return run, "a bigint, b bigint, " + ", ".join(f"{c} double" for c in _PAIR_SUMS)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -202,33 +215,38 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 
     Long form (column_a, column_b, r), both triangles and the diagonal; r is
     NULL where a column does not vary. NULL, NaN and infinite values count as
-    absent. Each task multiplies its batches as matrices and sends one row per
-    pair; values are first moved by the column's mean over all rows, so large
+    absent. One scan: each task multiplies its batches as matrices and sends one
+    row per pair, which are merged around the pair's mean of all tasks, so large
     offsets do not cancel. A spread within the rounding of the column's largest
     value counts as none, whatever the order of the rows.
     """
     columns = list(columns or numeric_columns(df))
     table = df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" for c in columns])
-    centres, scales = _centres_and_scales(table)
-    run, schema = _pair_moments(centres)
-    n, sa, sb, saa, sbb, sab = (F.col(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab"))
+    run, schema = _pair_moments(len(columns))
+    # A pair has as many rows here as there are tasks.
+    whole = Window.partitionBy("a", "b")
+    tasks = table.mapInArrow(run, schema).withColumns(
+        {f"off_{c}": F.col(f"mean_{c}") - F.try_divide(F.sum(F.col("n") * F.col(f"mean_{c}")).over(whole), F.sum("n").over(whole)) for c in "ab"}
+    )
 
-    rounding = [(x * 2.0**-50) ** 2 for x in scales]
+    def merged(apart: str, one: str, other: str) -> Column:
+        between = F.when(F.col("n") > 0, F.col("n") * F.col(f"off_{one}") * F.col(f"off_{other}")).otherwise(0.0)
+        return F.sum(F.col(apart) + between)
 
-    def spread(total: Column, squares: Column, position: str) -> Column:
+    sums = tasks.groupBy("a", "b").agg(
+        F.sum("n").alias("n"),
+        merged("apart_a", "a", "a").alias("va"), merged("apart_b", "b", "b").alias("vb"), merged("joint", "a", "b").alias("vab"),
+        F.sum("raw_a").alias("raw_a"), F.sum("raw_b").alias("raw_b"),
+        F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"),
+    )
+
+    def spread(c: str) -> Column:
         # What rounding leaves of a constant column counts as no spread.
-        v = squares - F.try_divide(total * total, n)
-        least = F.expr(f"get(array({', '.join(f'{x!r}D' for x in rounding)}), cast({position} as int))")
-        return F.when((v > squares * 1e-12) & (v > n * least), v)
-
-    r = (sab - F.try_divide(sa * sb, n)) / F.sqrt(spread(sa, saa, "a") * spread(sb, sbb, "b"))
-    r = nan_to_null_column(r)
-    pairs = (
-        table.mapInArrow(run, schema)
-        .groupBy("a", "b")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-        .select("a", "b", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
-    )
+        v, rounding = F.col(f"v{c}"), F.col(f"size_{c}") * 2.0**-50
+        return F.when((v > F.col(f"raw_{c}") * 1e-12) & (v > F.col("n") * rounding * rounding), v)
+
+    r = nan_to_null_column(F.col("vab") / F.sqrt(spread("a") * spread("b")))
+    pairs = sums.select("a", "b", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
     one, other = "named_struct('a', a, 'b', b)", "named_struct('a', b, 'b', a)"
     both = f"inline(case when a = b then array({one}) else array({one}, {other}) end)"
     mirrored = pairs.selectExpr("r", both)

@@ -280,3 +280,18 @@ def test_largest_rows_with_ties_and_small_groups(spark):
     got = largest_rows(df, "g", "v", [F.col("i")], 10, spread=["i"]).collect()
     assert [r["i"] for r in sorted(got, key=lambda r: r["rank"]) if r["g"] == "a"] == [4 + 5 * n for n in range(10)]
     assert sorted(r["i"] for r in got if r["g"] == "b") == [0, 1, 2]
+
+
+def test_correlation_takes_one_scan_and_bears_drifting_values(spark):
+    tracker = spark.sparkContext.statusTracker()
+    rng = np.random.default_rng(12)
+    # Sorted far from zero: every batch and every task has a mean of its own.
+    a = np.sort(1e7 + rng.normal(0, 1e5, 30_000))
+    b = a + rng.normal(0, 1e5, 30_000)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": b, "c": np.where(np.arange(30_000) < 20, 5.0, np.nan)})).repartitionByRange(7, "a")
+    spark.sparkContext.setJobGroup("one-scan", "correlations")
+    result = stats.correlation_matrix(df)
+    assert not list(tracker.getJobIdsForGroup("one-scan"))
+    got = {(r["column_a"], r["column_b"]): r["r"] for r in result.collect()}
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert got["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9) and got["c", "c"] is None and got["a", "c"] is None
