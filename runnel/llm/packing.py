@@ -1,12 +1,14 @@
 """Packing of documents into token windows by the sum-of-squares rule.
 
-Each task packs its own documents as they come: the rest of a document that
-does not fill a window goes, whole, into the open window whose fill level makes
-the sum of squared level counts smallest. Only the counts of open windows by
-level are looked at, an array as long as the window, and the open windows
-themselves. What is still open at a task's end is topped up by cutting the
-emptiest windows' pieces, and the last window is cut at powers of two, which
-need no padding.
+The rest of a document that does not fill a window goes, whole, into the open
+window whose fill level makes the sum of squared level counts smallest. Only the
+counts of open windows by level are looked at, an array as long as the window,
+and the open windows themselves, of which a task holds a bounded number.
+
+Each task packs its own documents as they come. The pieces of windows that stay
+open are packed by the same rule once more, those of many tasks together. What is
+still open then is topped up by cutting the emptiest windows' pieces, and a
+task's last window is cut at powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -23,23 +25,30 @@ from pyspark.sql import functions as F
 
 from runnel.llm.tokens import Encoder, worker
 from runnel.llm.words import slices
+from runnel.sources.staging import stage
 
 #: Characters encoded at once of a long text; it is cut at white space only.
 SEGMENT = 1 << 22
+#: Open windows of a task; beyond that the fuller half is closed.
+OPEN = 4096
+#: Ids that a task of the second round gets, some 4,000 windows.
+ROUND = 1 << 23
 
-#: (document index, start in the document, ids)
-Piece = tuple[int, int, np.ndarray]
+#: (document, start in the document, ids)
+Piece = tuple[object, int, np.ndarray]
 
 
 class SumOfSquares:
     """Open windows by fill level, and the online rule that places pieces."""
 
-    def __init__(self, window: int):
-        self.window = window
+    def __init__(self, window: int, most: int = OPEN):
+        self.window, self.most = window, most
         #: Number of open windows at each level; a closed or empty window counts for nothing.
         self.counts = np.zeros(window + 1, np.int64)
         self.open: list[list[list[Piece]]] = [[] for _ in range(window + 1)]
         self.full: list[list[Piece]] = []
+        #: Windows closed before they were full, the fullest first.
+        self.closed: list[list[Piece]] = []
 
     def level_for(self, size: int) -> int:
         """Fill level to add a piece of so many ids to; 0 opens a window.
@@ -73,22 +82,38 @@ class SumOfSquares:
         else:
             self.open[level + size].append(held)
             self.counts[level + size] += 1
+            if not level and self.counts.sum() > self.most:
+                self.close(self.most // 2)
+
+    def close(self, keep: int = 0) -> None:
+        """Closes open windows, the fullest first, until no more than ``keep`` are left."""
+        over = int(self.counts.sum()) - keep
+        for level in range(self.window, 0, -1):
+            while over > 0 and self.open[level]:
+                self.closed.append(self.open[level].pop())
+                self.counts[level] -= 1
+                over -= 1
 
-    def add_document(self, document: int, start: int, ids: np.ndarray) -> None:
+    def add_document(self, document: object, start: int, ids: np.ndarray) -> None:
         """Whole windows first, then the rest by the rule."""
         whole = len(ids) // self.window * self.window
         for at in range(0, whole, self.window):
             self.full.append([(document, start + at, ids[at : at + self.window])])
         if whole < len(ids):
-            self.add((document, start + whole, ids[whole:]))
+            # A copy: an open window keeps nothing but its own ids.
+            self.add((document, start + whole, ids[whole:].copy() if whole else ids))
 
     def take_full(self) -> list[list[Piece]]:
         full, self.full = self.full, []
         return full
 
-    def finish(self) -> list[list[Piece]]:
-        """The open windows without padding: the fullest are topped up with pieces of the emptiest."""
-        held = [w for level in reversed(self.open) for w in level]
+    def take_closed(self) -> list[list[Piece]]:
+        closed, self.closed = self.closed, []
+        return closed
+
+    def topped_up(self) -> tuple[list[list[Piece]], list[Piece]]:
+        """Full windows made of the closed ones, the fullest topped up with pieces of the emptiest, and the pieces left over."""
+        held = sorted(self.take_closed(), key=lambda w: -sum(len(p[2]) for p in w))
         left, right, out = 0, len(held) - 1, []
         while left < right:
             room = self.window - sum(len(p[2]) for p in held[left])
@@ -104,7 +129,7 @@ class SumOfSquares:
             if not room:
                 out.append(held[left])
                 left += 1
-        return out + (powers_of_two(held[left]) if left == right else [])
+        return out, held[left] if left == right else []
 
 
 def powers_of_two(pieces: list[Piece]) -> list[list[Piece]]:
@@ -143,65 +168,136 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+FIELDS = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, by_rule boolean"
+
+
+class Rows:
+    """Record batches of a task's pieces; a document is its (key, number of ids)."""
+
+    def __init__(self, first_sequence: int, key_type: pa.DataType, names: list[str]):
+        self.sequence, self.key_type, self.names = first_sequence, key_type, names
+
+    def _batch(self, rows: list[tuple[Piece, int | None, int | None]], by_rule: bool | None, with_ids: bool) -> pa.RecordBatch:
+        sizes = [len(p[2]) for p, _, _ in rows]
+        lists = pa.nulls(len(rows), pa.list_(pa.int32()))
+        if with_ids and rows:
+            values = np.concatenate([p[2] for p, _, _ in rows]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
+        columns = {
+            "id": pa.array([p[0][0] for p, _, _ in rows], self.key_type),
+            "start": pa.array([p[1] for p, _, _ in rows], pa.int64()),
+            "length": pa.array(sizes, pa.int64()),
+            "ids_crc32": pa.array([crc(p[2]) for p, _, _ in rows], pa.int64()),
+            "doc_tokens": pa.array([p[0][1] for p, _, _ in rows], pa.int64()),
+            "sequence_id": pa.array([s for _, s, _ in rows], pa.int64()),
+            "offset": pa.array([o for _, _, o in rows], pa.int64()),
+            "by_rule": pa.array([by_rule] * len(rows), pa.bool_()),
+            "ids": lists,
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values())[: len(self.names)], names=self.names)
+
+    def sequences(self, windows: list[list[Piece]], by_rule: bool, with_ids: bool) -> pa.RecordBatch:
+        rows = []
+        for pieces in windows:
+            offset = 0
+            for piece in pieces:
+                rows.append((piece, self.sequence, offset))
+                offset += len(piece[2])
+            self.sequence += 1
+        return self._batch(rows, by_rule, with_ids)
+
+    def left(self, windows: list[list[Piece]]) -> pa.RecordBatch:
+        """Pieces for the second round: no sequence yet."""
+        return self._batch([(p, None, None) for w in windows for p in w], None, True)
+
+
+def _first_round(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int, end_id: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
+    """Full windows, and the pieces of all others."""
+    encoder, packer, out = worker(Encoder, vocabulary), SumOfSquares(window, most), None
+    for batch in batches:
+        names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), "ids"]
+        out = out or Rows(TaskContext.get().partitionId() << 40, batch.column("id").type, names)
+        for part in slices(batch, "text"):
+            short = pc.utf8_length(part.column("text").fill_null("")).to_numpy(zero_copy_only=False) <= SEGMENT
+            encoded = iter(encoder.ids(part.column("text").filter(pa.array(short))))
+            for i, name in enumerate(part.column("id").to_pylist()):
+                if short[i]:
+                    ids = np.append(next(encoded), np.uint32(end_id))
+                else:
+                    parts = segments(part.column("text")[i].as_py())
+                    ids = np.concatenate([*(encoder.ids(pa.array([x]))[0] for x in parts), np.array([end_id], np.uint32)])
+                packer.add_document((name, len(ids)), 0, ids)
+            if packer.full:
+                yield out.sequences(packer.take_full(), True, with_ids)
+            if packer.closed:
+                yield out.left(packer.take_closed())
+    if out:
+        packer.close()
+        yield out.left(packer.take_closed())
+
+
+def _second_round(batches: Iterator[pa.RecordBatch], window: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
+    """The first round's pieces by the same rule; no window stays open."""
+    packer, out = SumOfSquares(window, most), None
+    for batch in batches:
+        names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), *(["ids"] if with_ids else [])]
+        out = out or Rows((1 << 62) + (TaskContext.get().partitionId() << 40), batch.column("id").type, names)
+        for at in range(0, len(batch), 1000):
+            part = batch.slice(at, 1000)
+            lists = part.column("ids")
+            bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            documents = zip(part.column("id").to_pylist(), part.column("doc_tokens").to_pylist())
+            for i, (document, start) in enumerate(zip(documents, part.column("start").to_pylist())):
+                packer.add((document, start, values[bounds[i] : bounds[i + 1]].astype(np.uint32)))
+            if packer.full:
+                yield out.sequences(packer.take_full(), True, with_ids)
+            if packer.closed:
+                full, rest = packer.topped_up()
+                yield out.sequences(full, False, with_ids)
+                for piece in rest:
+                    packer.add(piece)
+    if out:
+        packer.close()
+        full, rest = packer.topped_up()
+        yield out.sequences(packer.take_full(), True, with_ids)
+        yield out.sequences(full + powers_of_two(rest), False, with_ids)
+
+
 def pack(
-    docs: DataFrame, vocabulary: str, window: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text", with_ids: bool = True
+    docs: DataFrame,
+    vocabulary: str,
+    window: int = 2048,
+    end_id: int = 1,
+    key: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = True,
+    most: int = OPEN,
+    per_task: int = ROUND,
 ) -> DataFrame:
-    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if wanted, ids.
+    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, by_rule and, if wanted, ids.
 
     A document's ids are those of its text and ``end_id``; null and empty texts
     have that id only. The pieces of a document hold each of its ids once.
     Sequences of a power of two need no padding, and no others arise but full
-    ones. sequence_id holds the task's number in its upper bits; a task that
-    runs again over the same rows makes the same pieces. Rows with equal or null
+    ones. by_rule tells the sequences that the rule filled from those topped up.
+    A task has at most ``most`` open windows. The first round is stored in the shared folder,
+    so it is not run again; its left pieces go to tasks of some ``per_task`` ids each, in a
+    fixed order, so a task that runs again makes the same sequences. sequence_id holds round
+    and task in its upper bits. Rows with equal or null
     keys are packed one by one. An empty table gives an empty result.
     """
-    id_type = docs.schema[key].dataType.simpleString()
-    schema = f"{key} {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    schema += ", ids array<int>" if with_ids else ""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = worker(Encoder, vocabulary), SumOfSquares(window)
-        names: dict[int, object] = {}  # of documents with ids in open windows
-        totals: dict[int, int] = {}
-        task, sequence, document = TaskContext.get().partitionId() << 40, 0, 0
-        out_type = None
-
-        def rows(sequences: list[list[Piece]]) -> pa.RecordBatch:
-            nonlocal sequence
-            columns: dict[str, list] = {c: [] for c in ("doc", "start", "length", "crc", "total", "sequence", "offset", "ids")}
-            for pieces in sequences:
-                offset = 0
-                for doc, start, ids in pieces:
-                    for c, v in zip(columns, (doc, start, len(ids), crc(ids), totals[doc], task + sequence, offset, ids if with_ids else None)):
-                        columns[c].append(v)
-                    offset += len(ids)
-                sequence += 1
-            arrays = [pa.array([names[d] for d in columns["doc"]], out_type)]
-            arrays += [pa.array(columns[c], pa.int64()) for c in ("start", "length", "crc", "total", "sequence", "offset")]
-            if with_ids:
-                arrays.append(pa.array(columns["ids"], pa.list_(pa.int32())))
-            return pa.RecordBatch.from_arrays(arrays, names=[x.split(" ")[0] for x in schema.split(", ")])
-
-        for batch in batches:
-            out_type = batch.column("id").type
-            for part in slices(batch, "text"):
-                short = pc.utf8_length(part.column("text").fill_null("")).to_numpy(zero_copy_only=False) <= SEGMENT
-                encoded = iter(encoder.ids(part.column("text").filter(pa.array(short))))
-                for i, name in enumerate(part.column("id").to_pylist()):
-                    if short[i]:
-                        ids = np.append(next(encoded), np.uint32(end_id))
-                    else:
-                        parts = segments(part.column("text")[i].as_py())
-                        ids = np.concatenate([*(encoder.ids(pa.array([x]))[0] for x in parts), np.array([end_id], np.uint32)])
-                    names[document], totals[document] = name, len(ids)
-                    packer.add_document(document, 0, ids)
-                    document += 1
-                if packer.full:
-                    yield rows(packer.take_full())
-                    waiting = {p[0] for level in packer.open for w in level for p in w}
-                    names = {d: names[d] for d in waiting}
-                    totals = {d: totals[d] for d in waiting}
-        if document:
-            yield rows(packer.finish())
-
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    schema = f"id {docs.schema[key].dataType.simpleString()}, {FIELDS}"
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    first = rows.mapInArrow(lambda batches: _first_round(batches, vocabulary, window, end_id, with_ids, most), f"{schema}, ids array<int>")
+    first = stage(first, "packing")
+    done, left = first.where("sequence_id is not null"), first.where("sequence_id is null")
+    # Reads one column; the number of tasks follows the ids that are left.
+    ids = left.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    order = ["id", "start", "ids_crc32", "length", "doc_tokens"]
+    left = left.select(*order, "ids").repartition(max(1, -(-ids // per_task)), F.xxhash64("id", "start", "ids_crc32"))
+    if with_ids:
+        schema += ", ids array<int>"
+    # Mixed by a hash, for the rule does better on pieces in no order of size.
+    left = left.sortWithinPartitions(F.xxhash64("id", "start", "ids_crc32"), *order)
+    second = left.mapInArrow(lambda batches: _second_round(batches, window, with_ids, most), schema)
+    return done.select(*second.columns).union(second).withColumnRenamed("id", key)

@@ -75,6 +75,56 @@ def test_segments_join_to_the_text():
         assert "".join(segments(text, most)) == text
 
 
+def test_open_windows_are_bounded_and_lose_nothing():
+    packer, given, got = SumOfSquares(2048, most=64), 0, []
+    for i in range(1000):
+        ids = np.full((1100, 1500, 5000)[i % 3], i, np.uint32)
+        given += len(ids)
+        packer.add_document((i, len(ids)), 0, ids)
+        assert packer.counts.sum() == sum(map(len, packer.open)) <= 64
+        # An open window keeps no more than its own ids.
+        assert all(p[2].base is None or p[2].base.nbytes <= 2048 * 4 for level in packer.open for w in level for p in w)
+        if packer.closed:
+            full, rest = packer.topped_up()
+            assert all(sum(len(p[2]) for p in w) == 2048 for w in full)
+            got += [p for w in full for p in w]
+            for piece in rest:
+                packer.add(piece)
+    packer.close()
+    full, rest = packer.topped_up()
+    got += [p for w in [*full, *packer.full] for p in w] + rest
+    seen = Tally()
+    for (i, _), start, ids in got:
+        assert (ids == i).all()
+        seen.update((i, start + k) for k in range(len(ids)))
+    assert sum(seen.values()) == given and set(seen.values()) == {1}
+
+
+def test_left_pieces_are_packed_by_the_rule_again(spark):
+    """32 tasks of few documents fill hardly a window; together they do."""
+    rng = random.Random(3)
+    docs = documents(spark, [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(1, 40))) for _ in range(900)]).repartition(32)
+    rows = pack(docs, WORD, window=128).collect()
+    windows = {r["sequence_id"]: r["by_rule"] for r in rows}
+    assert sum(windows.values()) > 0.8 * len(windows)
+
+
+def test_windows_of_documents_over_half(spark):
+    docs = documents(spark, ["the " * (60 + i % 20) for i in range(200)])
+    rows = pack(docs.repartition(4), WORD, window=100, most=8, per_task=3000).collect()
+    sums = Tally()
+    for r in rows:
+        sums[r["sequence_id"]] += r["length"]
+    # Each task of the second round leaves one window at most, cut at powers of two.
+    tasks = -(-sum(sums.values()) // 3000)
+    short = [n for n in sums.values() if n < 100]
+    assert all(n & (n - 1) == 0 for n in short) and len(short) <= 7 * tasks < 0.3 * len(sums)
+    texts = [r for r in rows if (r["doc_id"] or 0) >= 100]
+    assert len({(r["doc_id"], r["start"]) for r in texts}) == len(texts)
+    for key in {r["doc_id"] for r in texts}:
+        assert len({r["doc_tokens"] for r in texts if r["doc_id"] == key} | {sum(r["length"] for r in texts if r["doc_id"] == key)}) == 1
+
+
 @pytest.mark.parametrize("window", [16, 2048])
 def test_packed_pieces_are_the_documents(spark, monkeypatch, window):
     monkeypatch.setattr(packing, "SEGMENT", 500)
