@@ -29,6 +29,8 @@ from runnel.sources.staging import stage
 
 #: Characters encoded at once of a long text; it is cut at white space only.
 SEGMENT = 1 << 22
+#: Bytes of text encoded at once; each takes some 50 bytes of memory.
+SLICE = 1 << 20
 #: Open windows of a task; beyond that the fuller half is closed.
 OPEN = 4096
 #: Ids that a task of the second round gets, some 4,000 windows.
@@ -217,7 +219,7 @@ def _first_round(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int
     for batch in batches:
         names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), "ids"]
         out = out or Rows(TaskContext.get().partitionId() << 40, batch.column("id").type, names)
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             short = pc.utf8_length(part.column("text").fill_null("")).to_numpy(zero_copy_only=False) <= SEGMENT
             encoded = iter(encoder.ids(part.column("text").filter(pa.array(short))))
             for i, name in enumerate(part.column("id").to_pylist()):
