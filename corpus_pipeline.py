@@ -17,12 +17,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least share of a document's letters in its main language; texts of two languages stay.
 MAIN_LANGUAGE = 0.34
 VOCABULARY = "word_bpe_49k.json"
-#: Rows of an Arrow batch. Whole texts go to Python and back, and both sides hold a batch each way.
+#: Rows and bytes of an Arrow batch. Whole texts go to Python and back, and both sides hold a batch each way.
 BATCH = 3_000
+BATCH_BYTES = 4 << 20
 
 
 def _small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
