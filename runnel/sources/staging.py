@@ -51,6 +51,15 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     return _written(df, staging_path(df.sparkSession, name))
 
 
+def free_exchanges(spark: SparkSession) -> None:
+    """Has Spark remove the shuffle files that no plan refers to any more.
+
+    Spark's cleaner does so when the driver's memory is collected, which a driver
+    with little to do may put off for half an hour. Call it after a large exchange was staged.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def staged(df: DataFrame, name: str = "table") -> Iterator[DataFrame]:
     """A staged table that is deleted at the end of the block."""
