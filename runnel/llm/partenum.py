@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from runnel.llm.graph import components
 from runnel.llm.words import SPACED, mix, rolling, slices, split_words
-from runnel.sources.staging import stage
+from runnel.sources.staging import free_exchanges, stage
 
 THIRDS = 3
 #: Signatures in a bucket, on average.
@@ -322,6 +322,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     blobs = rows.select("text").mapInArrow(lambda b: _send(b, words, similarity, buckets, largest), _BLOB)
     met = blobs.repartition(min(buckets, 4 * n), "bucket").groupBy("bucket").applyInArrow(_meet, "signature long, class long")
     members = stage(met.distinct(), "members")
+    free_exchanges(spark)
 
     # The sets of the classes that share a signature, from one row of each class.
     wanted = members.select("class").distinct()
@@ -340,6 +341,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
 
     texts = rows.select("k1", "k2", "text").repartition(n, "k1", "k2").join(chosen, ["k1", "k2"])
     held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>, long array<long>"), "sets")
+    free_exchanges(spark)
     sketches = held.select("class", "n", "sketch", "wide", "long")
     # A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says little.
     # Written out word by word, so that the join compiles it and makes no object for a pair.
@@ -368,6 +370,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     whole = False
     groups = stage(components(links), "components")
     while not whole:
+        free_exchanges(spark)
         # Signatures whose classes are not all in one component; the component with most of them is their rest,
         # and every other member is compared with all of other components.
         joined = members.join(groups.withColumnRenamed("node", "class"), "class", "left").select("signature", "class", F.coalesce("component_id", "class").alias("component"))

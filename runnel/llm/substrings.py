@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runnel.llm.words import SPACED, Words, buffers, rolling, slices, split_words
-from runnel.sources.staging import stage
+from runnel.sources.staging import free_exchanges, stage
 
 #: Cells of a sketch row for each anchor.
 CELLS = 8
@@ -144,6 +144,7 @@ def remove_repeats(
         repeated = counted.join(sketch, "cell", "left_semi").drop("cell")
     # Rows with equal keys and texts share k1 and k2: sets hold a text's positions once, however many such rows there are.
     marked = stage(repeated.groupBy("k1", "k2").agg(F.collect_set("at").alias("ats")), "marked")
+    free_exchanges(spark)
 
     spread = rows.repartition(n, "k1", "k2")
     schema = T.StructType().add("h", T.LongType()).add("id", id_type).add("k1", T.LongType()).add("k2", T.IntegerType()).add("start", T.IntegerType())
