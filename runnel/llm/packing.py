@@ -35,6 +35,8 @@ SLICE = 1 << 20
 OPEN = 4096
 #: Ids that a task of the second round gets, some 4,000 windows.
 ROUND = 1 << 23
+#: Windows of a record batch.
+SENT = 256
 
 #: (document, start in the document, ids)
 Piece = tuple[object, int, np.ndarray]
@@ -198,23 +200,32 @@ class Rows:
         }
         return pa.RecordBatch.from_arrays(list(columns.values())[: len(self.names)], names=self.names)
 
-    def sequences(self, windows: list[list[Piece]], by_rule: bool, with_ids: bool) -> pa.RecordBatch:
-        rows = []
-        for pieces in windows:
-            offset = 0
-            for piece in pieces:
-                rows.append((piece, self.sequence, offset))
-                offset += len(piece[2])
-            self.sequence += 1
-        return self._batch(rows, by_rule, with_ids)
-
-    def left(self, windows: list[list[Piece]]) -> pa.RecordBatch:
+    def sequences(self, windows: list[list[Piece]], by_rule: bool, with_ids: bool) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(windows), SENT):
+            rows = []
+            for pieces in windows[at : at + SENT]:
+                offset = 0
+                for piece in pieces:
+                    rows.append((piece, self.sequence, offset))
+                    offset += len(piece[2])
+                self.sequence += 1
+            yield self._batch(rows, by_rule, with_ids)
+
+    def left(self, windows: list[list[Piece]]) -> Iterator[pa.RecordBatch]:
         """Pieces for the second round: no sequence yet."""
-        return self._batch([(p, None, None) for w in windows for p in w], None, True)
+        for at in range(0, len(windows), SENT):
+            yield self._batch([(p, None, None) for w in windows[at : at + SENT] for p in w], None, True)
+
+
+def _release() -> None:
+    """Gives back what earlier tasks of a reused worker freed."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
 
 
 def _first_round(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int, end_id: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
     """Full windows, and the pieces of all others."""
+    _release()
     encoder, packer, out = worker(Encoder, vocabulary), SumOfSquares(window, most), None
     for batch in batches:
         names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), "ids"]
@@ -230,16 +241,17 @@ def _first_round(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int
                     ids = np.concatenate([*(encoder.ids(pa.array([x]))[0] for x in parts), np.array([end_id], np.uint32)])
                 packer.add_document((name, len(ids)), 0, ids)
             if packer.full:
-                yield out.sequences(packer.take_full(), True, with_ids)
+                yield from out.sequences(packer.take_full(), True, with_ids)
             if packer.closed:
-                yield out.left(packer.take_closed())
+                yield from out.left(packer.take_closed())
     if out:
         packer.close()
-        yield out.left(packer.take_closed())
+        yield from out.left(packer.take_closed())
 
 
 def _second_round(batches: Iterator[pa.RecordBatch], window: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
     """The first round's pieces by the same rule; no window stays open."""
+    _release()
     packer, out = SumOfSquares(window, most), None
     for batch in batches:
         names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), *(["ids"] if with_ids else [])]
@@ -252,17 +264,17 @@ def _second_round(batches: Iterator[pa.RecordBatch], window: int, with_ids: bool
             for i, (document, start) in enumerate(zip(documents, part.column("start").to_pylist())):
                 packer.add((document, start, values[bounds[i] : bounds[i + 1]].astype(np.uint32)))
             if packer.full:
-                yield out.sequences(packer.take_full(), True, with_ids)
+                yield from out.sequences(packer.take_full(), True, with_ids)
             if packer.closed:
                 full, rest = packer.topped_up()
-                yield out.sequences(full, False, with_ids)
+                yield from out.sequences(full, False, with_ids)
                 for piece in rest:
                     packer.add(piece)
     if out:
         packer.close()
         full, rest = packer.topped_up()
-        yield out.sequences(packer.take_full(), True, with_ids)
-        yield out.sequences(full + powers_of_two(rest), False, with_ids)
+        yield from out.sequences(packer.take_full(), True, with_ids)
+        yield from out.sequences(full + powers_of_two(rest), False, with_ids)
 
 
 def pack(
