@@ -17,16 +17,17 @@ never pair by pair within it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runnel.llm.graph import components
 from runnel.llm.words import SPACED, mix, rolling, slices, split_words
-from runnel.sources.staging import free_exchanges, stage
+from runnel.sources.staging import free_exchanges, stage, staged
 
 THIRDS = 3
 #: Signatures in a bucket, on average.
@@ -43,6 +44,8 @@ WIDE = 2048
 #: Comparisons of group members with others in one round; if there are more, HUBS members of each group at a time.
 PAIRS = 100_000_000
 HUBS = 8
+#: Signatures of a class, of the largest groups, of which one stands for all that two classes share.
+MEETINGS = 4
 
 
 class Bands:
@@ -282,6 +285,15 @@ def _meet(key: tuple, table: pa.Table) -> pa.Table:
     return pa.concat_tables([given, pa.table({"signature": names[shared], "class": classes[shared]})])
 
 
+def across(x: DataFrame, y: DataFrame, test: Column) -> DataFrame:
+    """(a, b) of the rows of x and y that share a signature, not a component, and pass ``test``.
+
+    Two classes with meetings in common are compared under the least of these only, others under every signature they share.
+    """
+    once = F.coalesce(F.array_min(F.array_intersect("ma", "mb")), "signature") == F.col("signature")
+    return x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & test & once).select("a", "b")
+
+
 def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", partitions: int | None = None) -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
@@ -321,7 +333,8 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     buckets = max(n, int(total * rate / 2 / BUCKET) + 1)
     blobs = rows.select("text").mapInArrow(lambda b: _send(b, words, similarity, buckets, largest), _BLOB)
     met = blobs.repartition(min(buckets, 4 * n), "bucket").groupBy("bucket").applyInArrow(_meet, "signature long, class long")
-    members = stage(met.distinct(), "members")
+    used = ExitStack()  # stored tables that the result does not refer to
+    members = used.enter_context(staged(met.distinct(), "members"))
     free_exchanges(spark)
 
     # The sets of the classes that share a signature, from one row of each class.
@@ -340,7 +353,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
                 yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(np.diff(bounds)), lists, bits, wide_sketches(hashes, bounds), long_sketches(hashes, bounds)], names=["class", "n", "shingles", "sketch", "wide", "long"])
 
     texts = rows.select("k1", "k2", "text").repartition(n, "k1", "k2").join(chosen, ["k1", "k2"])
-    held = stage(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>, long array<long>"), "sets")
+    held = used.enter_context(staged(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>, long array<long>"), "sets"))
     free_exchanges(spark)
     sketches = held.select("class", "n", "sketch", "wide", "long")
     # A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says little.
@@ -361,11 +374,20 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
         both = F.size(F.array_intersect("x", "y"))
         return pairs.join(b, "b").join(a, "a").where(both * 100 >= F.lit(percent) * (size - both)).select("a", "b")
 
-    hub = members.groupBy("signature").agg(F.min("class").alias("a"))
+    # A hub is the member that meets the most others under all its signatures: of copies of one text one changed
+    # little, which most of the group are similar to. Any member would do, but most leave more to compare below.
+    sizes = members.groupBy("signature").agg(F.count("*").alias("size"))
+    largest_groups = F.slice(F.sort_array(F.collect_list(F.struct("size", "signature")), asc=False), 1, MEETINGS).getField("signature")
+    met = used.enter_context(staged(members.join(sizes, "signature").groupBy("class").agg(F.sum("size").alias("others"), largest_groups.alias("meetings")), "met"))
+    free_exchanges(spark)
+    first = F.min(F.struct(-F.col("others"), "class")).getField("class")
+    hub = members.join(met, "class").groupBy("signature").agg(first.alias("a"))
     pairs = members.join(hub, "signature").where("class != a").select("a", F.col("class").alias("b")).distinct()
     pairs = pairs.join(sketches.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"), F.col("wide").alias("wx")), "a")
     pairs = pairs.join(sketches.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"), F.col("wide").alias("wy")), "b").where(possible)
     links = stage(verified(pairs.select("a", "b")), "links")
+    # The lists are made once, so that the signature of a pair is the same in all rounds.
+    sketches = sketches.join(met.select("class", "meetings"), "class")
     done = spark.createDataFrame([], "signature long, class long")
     whole = False
     groups = stage(components(links), "components")
@@ -375,31 +397,33 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
         # and every other member is compared with all of other components.
         joined = members.join(groups.withColumnRenamed("node", "class"), "class", "left").select("signature", "class", F.coalesce("component_id", "class").alias("component"))
         torn = joined.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low != high")
-        torn = stage(joined.join(torn.select("signature", "size"), "signature").join(sketches, "class"), "torn")
-        sizes = torn.groupBy("signature", "component").agg(F.count("*").alias("m"))
-        rest = sizes.groupBy("signature").agg(F.max(F.struct("m", "component")).getField("component").alias("rest"))
-        hubs = torn.join(rest, "signature").where("component != rest").join(done, ["signature", "class"], "left_anti")
-        asked, most = hubs.agg(F.count("*"), F.sum("size")).first()
-        if not asked:
-            break
-        whole = most <= PAIRS
-        if not whole:
-            order = Window.partitionBy("signature").orderBy("class")
-            hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "hubs")
-            done = stage(done.union(hubs.select("signature", "class")), "done")
-        pairs = None
-        # A similar pair is under WIDE on one side and at most a little over it on the other, or over it on both.
-        for chosen, held_as, test in (
-            (F.col("n") <= WIDE * 100 // percent, (("sketch", ("x", "y")), ("wide", ("wx", "wy"))), (F.least("na", "nb") <= WIDE) & possible),
-            (F.col("n") > WIDE, (("long", ("lx", "ly")),), longer),
-        ):
-            x = hubs.where(chosen).select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), *(F.col(c).alias(n[0]) for c, n in held_as))
-            y = torn.where(chosen).select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), *(F.col(c).alias(n[1]) for c, n in held_as))
-            found = x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & test).select("a", "b")
-            pairs = found if pairs is None else pairs.union(found)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = stage(links.union(verified(pairs)), "links")
-        groups = stage(components(links), "components")
+        with staged(joined.join(torn.select("signature", "size"), "signature").join(sketches, "class"), "torn") as torn:
+            sizes = torn.groupBy("signature", "component").agg(F.count("*").alias("m"))
+            rest = sizes.groupBy("signature").agg(F.max(F.struct("m", "component")).getField("component").alias("rest"))
+            hubs = torn.join(rest, "signature").where("component != rest").join(done, ["signature", "class"], "left_anti")
+            asked, most = hubs.agg(F.count("*"), F.sum("size")).first()
+            if not asked:
+                break
+            whole = most <= PAIRS
+            if not whole:
+                order = Window.partitionBy("signature").orderBy("class")
+                hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "hubs")
+                done = stage(done.union(hubs.select("signature", "class")), "done")
+            pairs = None
+            # A similar pair is under WIDE on one side and at most a little over it on the other, or over it on both.
+            for chosen, held_as, test in (
+                (F.col("n") <= WIDE * 100 // percent, (("sketch", ("x", "y")), ("wide", ("wx", "wy"))), (F.least("na", "nb") <= WIDE) & possible),
+                (F.col("n") > WIDE, (("long", ("lx", "ly")),), longer),
+            ):
+                x = hubs.where(chosen).select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("meetings").alias("ma"), *(F.col(c).alias(n[0]) for c, n in held_as))
+                y = torn.where(chosen).select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("meetings").alias("mb"), *(F.col(c).alias(n[1]) for c, n in held_as))
+                found = across(x, y, test)
+                pairs = found if pairs is None else pairs.union(found)
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            links = stage(links.union(verified(pairs)), "links")
+            groups = stage(components(links), "components")
+    used.close()
+    free_exchanges(spark)
     classes = digests.where("n > 0").join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component_id", "class"))
     lowest = classes.groupBy("component").agg(F.min("id").alias("component_id"))
     out = classes.drop("component_id").join(lowest, "component").select("id", "n", "component_id").union(empty)

@@ -280,3 +280,21 @@ def test_repeats_in_many_equal_rows(spark):
     # Null keys remove nothing and lose nothing; the others lose all to the smallest key.
     want = [(5, 0, len(text), 19_000), (None, 0, len(text), 990)] + [(i, 400, 0, 1) for i in range(19_990, 20_000)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_near_copies_of_one_text_meet_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 10_000, 150)]
+    texts = []
+    for k in range(120):  # of the base some are at 0.8 and more, some under
+        copy = list(base)
+        for place in rng.choice(140, int(rng.integers(1, 6)), replace=False):
+            copy[int(place)] = f"own{k}x{place}"
+        texts.append(" ".join(copy))
+    met, across = [], partenum.across
+    monkeypatch.setattr(partenum, "across", lambda *frames: (met.append([tuple(sorted(r)) for r in across(*frames).collect()]), across(*frames))[1])
+    docs = documents(spark, texts)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in similar_groups(docs, 5, 80).collect()), key=str)
+    assert got == groups(rows, 5, 80)
+    assert sum(map(len, met)) <= 2 * len(set(sum(met, []))) + 100
