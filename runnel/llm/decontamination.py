@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.llm.words import ALNUM, Words, buffers, slices, split_words
+from runnel.llm.words import ALNUM, SLICE, Words, buffers, release, slices, split_words
 from runnel.sources.staging import stage
 
 #: Bytes of item text in one broadcast automaton; more items make more automata, one scan each.
@@ -131,10 +131,11 @@ def contamination(
         windows = spark.sparkContext.broadcast(item_windows([(r.item, r.text) for r in part], size))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
             machine = automaton(windows.value)
             span = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
             for batch in batches:
-                for piece in slices(batch, "text"):
+                for piece in slices(batch, "text", SLICE):
                     words = split_words(piece.column("text"), ALNUM, lower=True)
                     spans, held = [], []
                     starts = buffers(piece.column("text"))[1]

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.llm.words import LOWER, buffers, slices
+from runnel.llm.words import LOWER, SLICE, buffers, release, slices
 
 #: First and last code points of scripts' letters. Script 0 is "none".
 SCRIPTS = [
@@ -36,8 +36,6 @@ _OF_GAP = np.array([0, *(x for name, _, _ in SCRIPTS for x in (_NAMES.index(name
 
 #: Buckets of hashed trigrams.
 FEATURES = 1 << 15
-#: Bytes of text labelled at once; each takes some 60 bytes of memory.
-SLICE = 1 << 21
 #: Words of a path that are looked at together; a longer path goes on from part to part.
 PATH = 4096
 UNDETERMINED = "und"
@@ -120,9 +118,10 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     scripts = len(_NAMES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 features, starts, ends, letters, script, first = _words(part.column("text"))
                 for i, name in enumerate(part.column("lang").to_pylist()):
                     a, b = first[i], first[i + 1]
@@ -268,6 +267,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         result = result.add("text", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model = sent.value
         k = len(model.languages)
         names = np.array([*model.languages, UNDETERMINED], object)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runnel.llm.tokens import Encoder, worker
-from runnel.llm.words import slices
+from runnel.llm.words import release, slices
 from runnel.sources.staging import stage
 
 #: Characters encoded at once of a long text; it is cut at white space only.
@@ -217,15 +217,9 @@ class Rows:
             yield self._batch([(p, None, None) for w in windows[at : at + SENT] for p in w], None, True)
 
 
-def _release() -> None:
-    """Gives back what earlier tasks of a reused worker freed."""
-    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
-        pool.release_unused()
-
-
 def _first_round(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int, end_id: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
     """Full windows, and the pieces of all others."""
-    _release()
+    release()
     encoder, packer, out = worker(Encoder, vocabulary), SumOfSquares(window, most), None
     for batch in batches:
         names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), "ids"]
@@ -251,7 +245,7 @@ def _first_round(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int
 
 def _second_round(batches: Iterator[pa.RecordBatch], window: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
     """The first round's pieces by the same rule; no window stays open."""
-    _release()
+    release()
     packer, out = SumOfSquares(window, most), None
     for batch in batches:
         names = ["id", *(f.split(" ")[0] for f in FIELDS.split(", ")), *(["ids"] if with_ids else [])]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runnel.llm.graph import components
-from runnel.llm.words import SPACED, mix, rolling, slices, split_words
+from runnel.llm.words import SLICE, SPACED, mix, release, rolling, slices, split_words
 from runnel.sources.staging import free_exchanges, stage, staged
 
 THIRDS = 3
@@ -100,6 +100,13 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(docs, np.arange(len(count) + 1))
 
 
+def sets_of(part: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of a part's texts, made from slices of it, so that what is held besides the result stays small."""
+    made = [shingle_sets(s.column("text"), n) for s in slices(part, "text", SLICE)]
+    sizes = np.concatenate([np.zeros(0, np.int64), *(np.diff(bounds) for _, bounds in made)])
+    return np.concatenate([np.zeros(0, np.uint64), *(hashes for hashes, _ in made)]), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def set_hashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One hash for each set; equal sets have equal ones."""
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes))])
@@ -218,10 +225,11 @@ def _send(batches: Iterator[pa.RecordBatch], n: int, similarity: Fraction, bucke
     A signature that several of the sets have goes to its bucket once; which
     sets share it is known here and sent on as it is (``local``).
     """
+    release()
     bands = Bands(similarity, largest)
     for batch in batches:
         for part in slices(batch, "text"):
-            hashes, bounds = shingle_sets(part.column("text"), n)
+            hashes, bounds = sets_of(part, n)
             classes = set_hashes(hashes, bounds).view(np.int64)
             _, once = np.unique(classes, return_index=True)
             sizes = np.diff(bounds)
@@ -316,8 +324,9 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     id_type = docs.schema[key].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 hashes, bounds = shingle_sets(part.column("text"), words)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("k1"), part.column("k2"), pa.array(np.diff(bounds)), pa.array(set_hashes(hashes, bounds).view(np.int64))], names=["id", "k1", "k2", "n", "class"]
@@ -342,9 +351,10 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     chosen = digests.join(wanted, "class").groupBy("class").agg(F.min(F.struct("k1", "k2", "n")).alias("r")).select("class", "r.*")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[int] = set()  # equal rows are in one partition
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 fresh = [c not in seen and not seen.add(c) for c in part.column("class").to_pylist()]
                 part = part.filter(pa.array(fresh, pa.bool_()))
                 hashes, bounds = shingle_sets(part.column("text"), words)

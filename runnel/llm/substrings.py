@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runnel.llm.words import SPACED, Words, buffers, rolling, slices, split_words
+from runnel.llm.words import SLICE, SPACED, Words, buffers, release, rolling, slices, split_words
 from runnel.sources.staging import free_exchanges, stage
 
 #: Cells of a sketch row for each anchor.
@@ -55,8 +55,9 @@ def _documents(words: Words) -> np.ndarray:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             words = split_words(part.column("text"), SPACED)
             _, at, hashes = window_anchors(words, window, gram)
             at = np.unique(at)
@@ -75,8 +76,9 @@ def _flat(lists: pa.Array, words: Words) -> np.ndarray:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
-        for part in slices(batch, "text", 1 << 21):
+        for part in slices(batch, "text", SLICE):
             words = split_words(part.column("text"), SPACED)
             starts, at, _ = window_anchors(words, window, gram)
             marked = np.zeros(len(words.hashes) + 1, bool)
@@ -156,8 +158,9 @@ def remove_repeats(
     result = T.StructType().add("id", id_type).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("text", T.StringType()).add("carry", carried)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = split_words(part.column("text"), SPACED)
                 starts = _flat(part.column("starts"), words)
                 depth = np.zeros(len(words.hashes) + 1, np.int64)
