@@ -8,13 +8,15 @@ Pass 1 counts anchors in a count-min sketch of two rows of cells: each task adds
 up its own cells, the shuffle merges them, and an anchor's estimate is the smaller
 of its two cells. A window that occurs twice brings its anchor twice, so the
 estimate is never below the window's own count and no repeated window is lost.
-Pass 2 hashes only the windows whose anchor is estimated to repeat, and groups
-them exactly.
+Pass 2 hashes only the windows whose anchor is estimated to repeat, stores
+them, and groups them exactly. Texts, windows and their groups are sent one after
+another, and the shuffle files of each step go before the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runnel.llm.words import SLICE, SPACED, Words, buffers, release, rolling, slices, split_words
-from runnel.sources.staging import free_exchanges, stage
+from runnel.sources.staging import free_exchanges, stage, staged
 
 #: Cells of a sketch row for each anchor.
 CELLS = 8
@@ -134,25 +136,30 @@ def remove_repeats(
         F.hash(text, key).alias("k2"),
     )
     id_type = rows.schema["id"].dataType
-    anchors = stage(
-        rows.select("k1", "k2", "text").mapInArrow(lambda b: _anchors(b, window, gram), "k1 long, k2 int, at int, anchor long"), "anchors"
-    )
-    cells = 1 << max(10, (CELLS * anchors.count()).bit_length())
-    repeated = anchors
-    for cell in (F.col("anchor"), F.xxhash64("anchor")):
-        counted = repeated.withColumn("cell", cell.bitwiseAND(F.lit(cells - 1)))
-        # Rows already below two in one sketch row need not be counted in the next.
-        sketch = counted.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
-        repeated = counted.join(sketch, "cell", "left_semi").drop("cell")
-    # Rows with equal keys and texts share k1 and k2: sets hold a text's positions once, however many such rows there are.
-    marked = stage(repeated.groupBy("k1", "k2").agg(F.collect_set("at").alias("ats")), "marked")
-    free_exchanges(spark)
-
     spread = rows.repartition(n, "k1", "k2")
     schema = T.StructType().add("h", T.LongType()).add("id", id_type).add("k1", T.LongType()).add("k2", T.IntegerType()).add("start", T.IntegerType())
-    windows = spread.join(marked, ["k1", "k2"]).select("id", "text", "k1", "k2", "ats").mapInArrow(lambda b: _windows(b, window, gram), schema)
-    groups = windows.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h", "low")
-    covered = windows.join(groups, "h").where("id > low").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
+    with ExitStack() as used:  # stored tables that the result does not refer to
+        with staged(rows.select("k1", "k2", "text").mapInArrow(lambda b: _anchors(b, window, gram), "k1 long, k2 int, at int, anchor long"), "anchors") as anchors:
+            cells = 1 << max(10, (CELLS * anchors.count()).bit_length())
+            repeated = anchors
+            for cell in (F.col("anchor"), F.xxhash64("anchor")):
+                counted = repeated.withColumn("cell", cell.bitwiseAND(F.lit(cells - 1)))
+                # Rows already below two in one sketch row need not be counted in the next.
+                sketch = counted.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
+                repeated = counted.join(sketch, "cell", "left_semi").drop("cell")
+            # Rows with equal keys and texts share k1 and k2: sets hold a text's positions once, however many such rows there are.
+            marked = used.enter_context(staged(repeated.groupBy("k1", "k2").agg(F.collect_set("at").alias("ats")), "marked"))
+        free_exchanges(spark)
+
+        # Texts, groups and covered windows are never in exchanges of one job.
+        found = spread.join(marked, ["k1", "k2"]).select("id", "text", "k1", "k2", "ats").mapInArrow(lambda b: _windows(b, window, gram), schema)
+        windows = used.enter_context(staged(found, "windows"))
+        free_exchanges(spark)
+        groups = windows.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h", "low")
+        groups = used.enter_context(staged(groups, "groups"))
+        free_exchanges(spark)
+        covered = stage(windows.join(groups, "h").where("id > low").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts")), "covered")
+    free_exchanges(spark)
 
     carried = rows.schema["carry"].dataType
     result = T.StructType().add("id", id_type).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("text", T.StringType()).add("carry", carried)

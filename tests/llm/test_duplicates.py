@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from fractions import Fraction
 from itertools import product
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from runnel.llm.lattice import SHORTEST, near_vectors, nearest
 from runnel.llm.partenum import similar_groups
 from runnel.llm.substrings import remove_repeats
 from runnel.llm.words import mix
+from runnel.sources.staging import shared_folder
 
 
 def spaced(text, lower=False):
@@ -282,6 +284,17 @@ def test_repeats_in_many_equal_rows(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_repeats_keep_no_windows_beside_the_texts(spark):
+    """Windows and texts are sent in jobs of their own, and what a job stored for the next is deleted."""
+    folder = Path(shared_folder(spark)) / "runnel"
+    before = set(folder.glob("*"))
+    got = remove_repeats(documents(spark, passages()), window=12, gram=4)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "hashpartitioning(h#" not in plan
+    assert [p.name.split("-")[0] for p in set(folder.glob("*")) - before] == ["covered"]
+    assert got.where("n_removed > 0").count() > 10
+
+
 def test_near_copies_of_one_text_meet_once(spark, monkeypatch):
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in rng.integers(0, 10_000, 150)]
