@@ -82,6 +82,16 @@ class HotspotPoints(NamedTuple):
     rejects: DataFrame
 
 
+def _once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """A select whose columns are worked out once a row.
+
+    Spark puts a column's text in place of its name in later filters and moves these below joins and
+    aggregates, so costly columns would be worked out again there, for every use of every name. It does not
+    with what a generator makes.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def parse_hotspot_lines(lines: DataFrame, observation: Observation | None = None) -> HotspotPoints:
     """Sample points of hotspot report lines, and the lines that have faults.
 
@@ -92,24 +102,25 @@ def parse_hotspot_lines(lines: DataFrame, observation: Observation | None = None
     """
     schema = "grid string, hotspot_score double, sample_locations array<string>, _bad string"
     parts = F.split(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")), "\t")
-    parsed = lines.select(
+    parsed = _once(
+        lines,
         "value",
         F.size(parts).alias("n_parts"),
         F.from_json(F.get(parts, F.lit(1)), schema, {"columnNameOfCorruptRecord": "_bad"}).alias("j"),
     )
 
-    xy = "split(t, ',')"
-    first, second = parse_float_sql(f"get({xy}, 0)"), parse_float_sql(f"get({xy}, 1)")
-    good = f"size({xy}) = 2 and ({first}) is not null and ({second}) is not null"
+    first, second = parse_float_sql("get(xy, 0)"), parse_float_sql("get(xy, 1)")
+    good = f"size(xy) = 2 and ({first}) is not null and ({second}) is not null"
     point = f"case when {good} then named_struct('latitude', {second}, 'longitude', {first}) end"
-    pairs = F.expr(f"transform(j.sample_locations, t -> {point})")
-    first_bad = F.array_position(F.transform(pairs, lambda p: p.isNull()), F.lit(True))
-    tested = parsed.select(
+    placed = _once(parsed, "value", "n_parts", "j", F.expr(f"transform(transform(j.sample_locations, t -> split(t, ',')), xy -> {point})").alias("pairs"))
+    first_bad = F.array_position(F.transform("pairs", lambda p: p.isNull()), F.lit(True))
+    tested = _once(
+        placed,
         "value",
         F.col("j.grid").alias("grid"),
         F.col("j.hotspot_score").alias("hotspot_score"),
-        F.when(first_bad > 0, F.slice(pairs, F.lit(1), (first_bad - 1).cast("int")))
-        .otherwise(pairs)
+        F.when(first_bad > 0, F.slice("pairs", F.lit(1), (first_bad - 1).cast("int")))
+        .otherwise(F.col("pairs"))
         .alias("pairs"),
         F.when(F.col("n_parts") < 2, "no tab")
         .when(F.col("j._bad").isNotNull() | F.col("j").isNull(), "bad json")

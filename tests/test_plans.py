@@ -4,6 +4,7 @@ import pytest
 
 from runnel.operators import correlation, hotspots, panels, quality, seasonal, severity, stats
 from runnel.operators.order_stats import _Bracket, _bracketed
+from runnel.sources import reports
 from runnel.streaming import readings
 
 
@@ -86,3 +87,13 @@ def test_correlations_shuffle_sites_once(stored):
     report.collect()
     final = plan(report)
     assert "ReusedExchange" in final
+
+
+def test_a_report_line_is_parsed_once(spark):
+    # The filter on the reason is neither put in place of its columns nor moved below the join.
+    keys = spark.range(9).selectExpr("id % 5 as k").groupBy("k").count()
+    lines = keys.join(spark.range(5).withColumnRenamed("id", "k"), "k").selectExpr("concat('\"HOTSPOT\"\t{\"grid\": \"g', k, '\"') as value")
+    found = reports.parse_hotspot_lines(lines)
+    for df in found:
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert [r["reason"] for r in found.rejects.collect()] == ["bad json"] * 5
