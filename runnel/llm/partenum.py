@@ -41,9 +41,12 @@ RUN = 1 << 16
 #: Bits of a set's parity sketch, and of the wide one of sets of more elements than that.
 SKETCH = 512
 WIDE = 2048
-#: Comparisons of group members with others in one round; if there are more, HUBS members of each group at a time.
+#: Comparisons of group members with others in one round, for each ROWS rows of such groups; if there are more, HUBS members
+#: of each group are compared first, and GROWTH times as many in each further round.
 PAIRS = 100_000_000
+ROWS = 1_000_000
 HUBS = 8
+GROWTH = 8
 #: Signatures of a class, of the largest groups, of which one stands for all that two classes share.
 MEETINGS = 4
 
@@ -293,13 +296,33 @@ def _meet(key: tuple, table: pa.Table) -> pa.Table:
     return pa.concat_tables([given, pa.table({"signature": names[shared], "class": classes[shared]})])
 
 
-def across(x: DataFrame, y: DataFrame, test: Column) -> DataFrame:
-    """(a, b) of the rows of x and y that share a signature, not a component, and pass ``test``.
+def sketch_tests(percent: int) -> tuple[Column, Column]:
+    """Whether sets of na and nb elements may be similar, by their sketches x and y, and by the wide ones wx and wy.
+
+    A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says little.
+    Written out word by word, so that a join compiles it and makes no object for a pair.
+    """
+    within = f"* {100 + percent} <= {100 - percent} * (na + nb)"
+    apart, wider = (" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(size // 64)) for a, b, size in (("x", "y", SKETCH), ("wx", "wy", WIDE)))
+    return F.expr(f"({apart}) {within}"), F.expr(f"wx is null or wy is null or ({wider}) {within}")
+
+
+def passed(rows: DataFrame, test: Column) -> DataFrame:
+    """The rows that pass ``test``, which stays out of the join below them.
+
+    Spark would put it into the join's loop. Java does not compile a method of over 8,000 bytes, and interprets it at every pair.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns)))).where(test)
+
+
+def across(x: DataFrame, y: DataFrame, test: Column, further: Column) -> DataFrame:
+    """(a, b) of the rows of x and y that share a signature, not a component, and pass ``test`` and ``further``.
 
     Two classes with meetings in common are compared under the least of these only, others under every signature they share.
     """
     once = F.coalesce(F.array_min(F.array_intersect("ma", "mb")), "signature") == F.col("signature")
-    return x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & test & once).select("a", "b")
+    pairs = x.join(y, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("own")) & test)
+    return passed(pairs, further & once).select("a", "b")
 
 
 def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", partitions: int | None = None) -> DataFrame:
@@ -366,16 +389,11 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     held = used.enter_context(staged(texts.select("class", "text").mapInArrow(sets, "class long, n long, shingles array<long>, sketch array<long>, wide array<long>, long array<long>"), "sets"))
     free_exchanges(spark)
     sketches = held.select("class", "n", "sketch", "wide", "long")
-    # A lower bound of the elements in one set only, against what a similar pair may have. Of long sets the short sketch says little.
-    # Written out word by word, so that the join compiles it and makes no object for a pair.
-    apart = " + ".join(f"bit_count(x[{i}] ^ y[{i}])" for i in range(SKETCH // 64))
-    wider = " + ".join(f"bit_count(wx[{i}] ^ wy[{i}])" for i in range(WIDE // 64))
-    within = f"* {100 + percent} <= {100 - percent} * (na + nb)"
-    possible = F.expr(f"({apart}) {within} and (wx is null or wy is null or ({wider}) {within})")
+    possible, wide = sketch_tests(percent)
     # The few sets beyond have sketches as long as they are; the longer of two is folded to the shorter one's size.
     shorter = "least(size(lx), size(ly))"
     folded = {w: f"aggregate(sequence(i, size({w}) - 1, {shorter}), 0L, (a, j) -> a ^ {w}[j])" for w in ("lx", "ly")}
-    longer = F.expr(f"aggregate(sequence(0, {shorter} - 1), 0, (s, i) -> s + bit_count({folded['lx']} ^ {folded['ly']})) {within}")
+    longer = F.expr(f"aggregate(sequence(0, {shorter} - 1), 0, (s, i) -> s + bit_count({folded['lx']} ^ {folded['ly']})) * {100 + percent} <= {100 - percent} * (na + nb)")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = held.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -395,11 +413,11 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     pairs = members.join(hub, "signature").where("class != a").select("a", F.col("class").alias("b")).distinct()
     pairs = pairs.join(sketches.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"), F.col("wide").alias("wx")), "a")
     pairs = pairs.join(sketches.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"), F.col("wide").alias("wy")), "b").where(possible)
-    links = stage(verified(pairs.select("a", "b")), "links")
+    links = stage(verified(passed(pairs, wide).select("a", "b")), "links")
     # The lists are made once, so that the signature of a pair is the same in all rounds.
     sketches = sketches.join(met.select("class", "meetings"), "class")
     done = spark.createDataFrame([], "signature long, class long")
-    whole = False
+    whole, each = False, HUBS
     groups = stage(components(links), "components")
     while not whole:
         free_exchanges(spark)
@@ -414,20 +432,21 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str
             asked, most = hubs.agg(F.count("*"), F.sum("size")).first()
             if not asked:
                 break
-            whole = most <= PAIRS
+            whole = most <= PAIRS * max(1, torn.count() // ROWS)
             if not whole:
                 order = Window.partitionBy("signature").orderBy("class")
-                hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "hubs")
+                hubs = stage(hubs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each), "hubs")
                 done = stage(done.union(hubs.select("signature", "class")), "done")
+                each *= GROWTH
             pairs = None
             # A similar pair is under WIDE on one side and at most a little over it on the other, or over it on both.
-            for chosen, held_as, test in (
-                (F.col("n") <= WIDE * 100 // percent, (("sketch", ("x", "y")), ("wide", ("wx", "wy"))), (F.least("na", "nb") <= WIDE) & possible),
-                (F.col("n") > WIDE, (("long", ("lx", "ly")),), longer),
+            for chosen, held_as, test, further in (
+                (F.col("n") <= WIDE * 100 // percent, (("sketch", ("x", "y")), ("wide", ("wx", "wy"))), (F.least("na", "nb") <= WIDE) & possible, wide),
+                (F.col("n") > WIDE, (("long", ("lx", "ly")),), longer, F.lit(True)),
             ):
                 x = hubs.where(chosen).select("signature", F.col("component").alias("own"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("meetings").alias("ma"), *(F.col(c).alias(n[0]) for c, n in held_as))
                 y = torn.where(chosen).select(F.col("signature").alias("s"), "component", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("meetings").alias("mb"), *(F.col(c).alias(n[1]) for c, n in held_as))
-                found = across(x, y, test)
+                found = across(x, y, test, further)
                 pairs = found if pairs is None else pairs.union(found)
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             links = stage(links.union(verified(pairs)), "links")

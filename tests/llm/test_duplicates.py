@@ -311,3 +311,37 @@ def test_near_copies_of_one_text_meet_once(spark, monkeypatch):
     got = sorted((tuple(r) for r in similar_groups(docs, 5, 80).collect()), key=str)
     assert got == groups(rows, 5, 80)
     assert sum(map(len, met)) <= 2 * len(set(sum(met, []))) + 100
+
+
+def test_comparisons_are_compiled(spark):
+    # Java interprets a method of over 8,000 bytes.
+    bits = {"sketch": partenum.SKETCH // 64, "wide": partenum.WIDE // 64, "meetings": 4}
+    sets = spark.range(50).select("id", (F.col("id") % 3).alias("signature"), F.lit(400).alias("n"), *(F.array(*[F.xxhash64("id", F.lit(i)) for i in range(k)]).alias(c) for c, k in bits.items()))
+    x = sets.selectExpr("signature", "id as own", "id as a", "n as na", "meetings as ma", "sketch as x", "wide as wx")
+    y = sets.selectExpr("signature as s", "id as component", "id as b", "n as nb", "meetings as mb", "sketch as y", "wide as wy")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, value in zip(kept, ("false", "-1")):
+            spark.conf.set(c, value)
+        pairs = partenum.across(x, y, *partenum.sketch_tests(80))
+        codes = debug.codegenStringSeq(pairs._jdf.queryExecution().executedPlan())
+        joins = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size()) if "SortMergeJoin" in codes.apply(i)._1()]
+        assert len(joins) == 1 and joins[0] < 8_000
+    finally:
+        for c, value in kept.items():
+            spark.conf.set(c, value)
+
+
+def test_few_rounds_for_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "PAIRS", 5)
+    monkeypatch.setattr(partenum, "HUBS", 1)
+    rounds, staged = [], partenum.staged
+    monkeypatch.setattr(partenum, "staged", lambda df, name="table": (rounds.append(name), staged(df, name))[1])
+    # Of one signature each, as the long common passage fills most parts of a set; no two are similar.
+    some = np.random.default_rng(2)
+    common = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, common + "".join(f" x{some.integers(1 << 40)}" for _ in range(24))) for i in range(60)], "doc_id long, text string")
+    got = similar_groups(docs, 1, 80, partitions=2).collect()
+    assert len({r["component_id"] for r in got}) == 60
+    assert 2 < rounds.count("torn") < 8
