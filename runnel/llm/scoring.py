@@ -15,14 +15,16 @@ them to the n-grams of its documents and sums each document's scores.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.words import SPACED, Words, rolling, split_words
+from runnel.llm.words import SLICE as RUN
+from runnel.llm.words import SPACED, Words, release, rolling, slices, split_words
 
 #: Bytes of text in a slice, and n-grams in a partition of the count table, on average.
 SLICE = 1 << 23
@@ -32,25 +34,51 @@ DROPPED = np.uint64(8)
 ZSTD = pa.Codec("zstd")
 
 
-def _grams(words: Words, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(ids, distinct, counts): per order the id of the n-gram that ends at each word, or -1; the distinct
-    n-grams by hash, and how often each occurs."""
-    count = np.diff(words.first)
-    place = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], count)
-    hashes, ends = [], []
+def _grams(words: Words, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, ends) per order: the n-grams' kept bits, and the word at which each ends."""
+    place = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], np.diff(words.first))
     for k in range(1, order + 1):
         at = np.flatnonzero(place >= k - 1)
-        hashes.append(rolling(words, k)[at - (k - 1)] if len(at) else np.zeros(0, np.uint64))
-        ends.append(at)
-    distinct, inverse, counts = np.unique(np.concatenate(hashes) >> DROPPED, return_inverse=True, return_counts=True)
+        yield (rolling(words, k)[at - (k - 1)] if len(at) else np.zeros(0, np.uint64)) >> DROPPED, at
+
+
+def _runs(texts: pa.Array) -> Iterator[Words]:
+    """The words of a run of texts at a time, so that what is held besides the n-grams stays small."""
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", RUN):
+        yield split_words(part.column("text"), SPACED, lower=True)
+
+
+def once(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct texts, null as empty, and which of them each row has."""
+    coded = pc.fill_null(texts.cast(pa.large_string()).combine_chunks(), "").dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def distinct_grams(texts: pa.Array, times: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): the distinct n-grams of texts that occur so many ``times``, and how often each occurs."""
+    held, weights, begin = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    repeated = bool((times > 1).any())
+    for words in _runs(texts):
+        size = np.diff(words.first)
+        of_word = np.repeat(times[begin : begin + len(size)], size)
+        begin += len(size)
+        for hashes, at in _grams(words, order):
+            held.append(hashes)
+            if repeated:
+                weights.append(of_word[at])
+    hashes = np.concatenate(held)
+    del held
+    if repeated:
+        sequence = np.argsort(hashes)
+        hashes, weight = hashes[sequence], np.concatenate(weights)[sequence]
+    else:
+        hashes.sort()
     # Hashes that agree in the kept bits count as one n-gram.
-    ids, begin = [], 0
-    for at in ends:
-        own = np.full(len(place), -1, np.int64)
-        own[at] = inverse[begin : begin + len(at)]
-        begin += len(at)
-        ids.append(own)
-    return ids, distinct, counts
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    first = np.flatnonzero(new)
+    counts = np.add.reduceat(weight, first) if repeated and len(first) else np.diff(first, append=len(hashes))
+    return hashes[first], counts
 
 
 def narrow(values: np.ndarray, compress: bool = False) -> bytes:
@@ -126,12 +154,13 @@ def backoff_scores(
     corpus_words = corpus.agg(F.sum("n")).first()[0] or 0
     id_type = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    # Repeated rows go to different slices too.
+    # Equal rows go to one slice, where their text is worked on once.
     rows = rows.withColumn("slice", F.pmod(F.xxhash64("id", "text"), F.lit(slices)).cast("int")).repartition(n, "slice")
 
     def ask(table: pa.Table) -> pa.Table:
-        words = split_words(table.column("text").combine_chunks(), SPACED, lower=True)
-        _, distinct, counts = _grams(words, order)
+        release()
+        texts, which = once(table.column("text"))
+        distinct, counts = distinct_grams(texts, np.bincount(which, minlength=len(texts)), order)
         # The n-grams are sorted and buckets are ranges of their upper bits: each bucket gets one run, as steps.
         keys = distinct.astype(np.int64)
         bounds = np.searchsorted(((keys >> 40) * buckets) >> 16, np.arange(buckets + 1))
@@ -151,6 +180,7 @@ def backoff_scores(
         )
 
     def count(table: pa.Table) -> pa.Table:
+        release()
         sizes = table.column("size").to_pylist()
         firsts = table.column("first").to_pylist()
         halves = zip(table.column("low").to_pylist(), table.column("high").to_pylist(), sizes, firsts)
@@ -165,12 +195,22 @@ def backoff_scores(
         )
 
     def answer(documents: pa.Table, totals: pa.Table) -> pa.Table:
-        words = split_words(documents.column("text").combine_chunks(), SPACED, lower=True)
-        ids, distinct, _ = _grams(words, order)
+        release()
+        texts, which = once(documents.column("text"))
+        distinct, _ = distinct_grams(texts, np.ones(len(texts), np.int64), order)
         blobs, sizes = totals.column("totals").to_pylist(), totals.column("size").to_pylist()
         known = np.concatenate([widen(blobs[i], sizes[i], compress) for i in np.argsort(totals.column("bucket").to_numpy())] + [np.zeros(0, np.int64)])
-        sums, backed_off = scores(words, order, alpha, ids, known, corpus_words)
-        return pa.table({"id": documents.column("id"), "n_words": pa.array(np.diff(words.first)), "n_backed_off": pa.array(backed_off.astype(np.int64)), "log_score": pa.array(sums)})
+        found = []
+        for words in _runs(texts):
+            ids = []
+            for hashes, at in _grams(words, order):
+                some, inverse = np.unique(hashes, return_inverse=True)
+                own = np.full(len(words.hashes), -1, np.int64)
+                own[at] = np.searchsorted(distinct, some)[inverse]
+                ids.append(own)
+            found.append((np.diff(words.first), *scores(words, order, alpha, ids, known, corpus_words)))
+        size, sums, backed_off = (np.concatenate(parts)[which] for parts in zip(*found))
+        return pa.table({"id": documents.column("id"), "n_words": pa.array(size), "n_backed_off": pa.array(backed_off.astype(np.int64)), "log_score": pa.array(sums)})
 
     asked = rows.groupBy("slice").applyInArrow(ask, "bucket int, slice int, first long, size int, low binary, high binary, n binary")
     counted = asked.groupBy("bucket").applyInArrow(count, "bucket int, slice int, size int, totals binary")

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from runnel.llm import decontamination, language, partenum, substrings
+from runnel.llm import decontamination, language, partenum, scoring, substrings
 
 MB = 1 << 20
 
@@ -80,3 +80,20 @@ def test_other_stages(spark, sent, batch):
     assert len(functions) == 3
     for f in functions:
         assert peak(f, batch) < 48, f.__qualname__
+
+
+def test_backoff_scores(spark, monkeypatch, batch):
+    """A slice takes as much memory however often its texts repeat, and little more than its n-grams."""
+    functions = []
+    grouped = spark.range(1).groupBy("id")
+    for kind in (type(grouped), type(grouped.cogroup(grouped))):
+        plain = kind.applyInArrow
+        monkeypatch.setattr(kind, "applyInArrow", lambda self, f, schema, plain=plain: (functions.append(f), plain(self, f, schema))[1])
+    scoring.backoff_scores(spark.createDataFrame([(1, "a b"), (2, "a b c")], "doc_id long, text string"), order=3, partitions=1)
+    ask, count, answer = functions
+    half = pa.table({"id": batch.column("id"), "text": batch.column("text"), "slice": pa.array([0] * len(batch), pa.int32())})
+    for table, most in ((half, 72), (pa.concat_tables([half] * 5), 110)):
+        asked = ask(table)
+        totals = count(asked)
+        assert peak(lambda b: [ask(table)], batch) < most
+        assert peak(lambda b: [answer(table, totals)], batch) < most
