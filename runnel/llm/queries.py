@@ -70,7 +70,7 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(scores: DataFrame) -> DataFrame:
-    return scores.select("doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"), F.round(F.col("log_score") / F.col("n_words"), 6).alias("per_word"))
+    return scores.select("doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"), F.round(F.try_divide("log_score", "n_words"), 6).alias("per_word"))
 
 
 @query

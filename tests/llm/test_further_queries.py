@@ -38,3 +38,12 @@ def test_narrow_integers_come_back(compress):
             assert widen(narrow(values, compress), n, compress).tolist() == values.tolist()
     ones = np.append(np.ones(5000, np.int64), 300)
     assert not compress or len(narrow(ones, compress)) < 200
+
+
+@pytest.mark.parametrize("name", ["op3_backoff_scores", "op3_trigram_scores"])
+def test_texts_without_words_have_no_score_a_word(spark, tmp_path, name):
+    rows = [(1, "a b c"), (2, None), (3, ""), (4, " \n "), (5, "a b"), (None, "B c"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["n_words"]): r["per_word"] for r in queries()[name](spark, str(tmp_path)).collect()}
+    assert set(got) == {(1, 3), (2, 0), (3, 0), (4, 0), (5, 2), (None, 2), (None, 0)}
+    assert all((v is None) == (n == 0) for (_, n), v in got.items())
